@@ -1 +1,180 @@
+from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from rillmark.operators.events import EVENT_KEY, event_key
+from rillmark.operators.filters import filter_account, filter_retention
+from rillmark.operators.offsets import LEDGER_KEY, ledger_rows
+from rillmark.plans.commerce import map_order_event as map_event
+from rillmark.plans.customers import map_level, map_score
+from rillmark.session import work_path
+from rillmark.sinks import stores
+from rillmark.sinks.keyed_table import KeyedTable
+from rillmark.streaming.change_join import EVENT_SCHEMA
+from rillmark.streaming.jobs import LEDGER_SCHEMA
+
+from . import query
+from .keyed import CELLS, order_cells
+from .mappings import LEVELS, LOADED, MAPPED_EVENT, joined_events, levels
+from .views import LINE_ORDER, score, table, text, with_views
+
+ORDER_SCHEMA = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
+
+
+def order_batches(spark, sf_dir):
+    """All orders, then new states of a third of them and some new keys."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    changed = orders.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("X"))
+    added = orders.where("o_orderkey % 10 = 0").select((-F.col("o_orderkey") - 1).alias("o_orderkey"), "o_orderstatus", "o_totalprice")
+    return orders, changed.unionByName(added)
+
+
+def upserted(spark, sf_dir):
+    target = KeyedTable(spark, work_path(spark, "orders"), ORDER_SCHEMA, ["o_orderkey"], buckets=16)
+    first, second = order_batches(spark, sf_dir)
+    target.write_batch(first, 0)
+    target.write_batch(second, 1)
+    return target
+
+
+UPSERTED = """
+select o_orderkey, case when o_orderkey % 3 = 0 then 'X' else o_orderstatus end as o_orderstatus, o_totalprice from orders
+union all select -o_orderkey - 1, o_orderstatus, o_totalprice from orders where o_orderkey % 10 = 0
+"""
+
+
+@query(UPSERTED)
+def snk_upsert(spark, sf_dir):
+    return upserted(spark, sf_dir).read()
+
+
+@query(with_views("score", f"""
+with_scores as (
+  select fuid, ftenancyid, faccounttype, faccountpoints,
+    row_number() over (partition by ftenancyid, fuid, faccounttype order by event_id desc) as rn
+  from score where faccounttype in ('2', '4'))
+select cast(c_custkey % 10 as varchar) as k_ftenancy_id, cast(c_custkey as varchar) as k_fid, c_name as fnickname,
+  p.faccountpoints as faccountpoints, l.faccountpoints as fmlevelvalue, '{LOADED}' as etl_date
+from customer
+left join with_scores p on p.fuid = cast(c_custkey as varchar) and p.faccounttype = '2' and p.rn = 1
+left join with_scores l on l.fuid = cast(c_custkey as varchar) and l.faccounttype = '4' and l.rn = 1
+""").replace("\nwith_scores as", ",\nwith_scores as"))
+def snk_partial_upsert(spark, sf_dir):
+    schema = "k_ftenancy_id string, k_fid string, fnickname string, faccountpoints string, fmlevelvalue string, etl_date string"
+    target = KeyedTable(spark, work_path(spark, "members"), schema, ["k_ftenancy_id", "k_fid"], partial=True, buckets=16)
+    members = table(spark, sf_dir, "customer").select(
+        text(F.col("c_custkey") % 10).alias("k_ftenancy_id"), text("c_custkey").alias("k_fid"), F.col("c_name").alias("fnickname"),
+        F.lit(LOADED).alias("etl_date"),
+    )
+    target.write_batch(members, 0)
+    scores = filter_account(score(spark, sf_dir)).withColumn("_place", F.col("event_id"))
+    target.write_batch(map_score(scores, LOADED), 1, order=["_place"])
+    return target.read()
+
+
+@query(CELLS)
+def snk_cells(spark, sf_dir):
+    path = work_path(spark, "cells")
+    rows = table(spark, sf_dir, "orders").select(
+        text("o_orderkey").alias("rowkey"), "o_custkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+        "o_orderpriority",
+    )
+    stores.write_cells(rows, path, "rowkey", F.col("rowkey").cast("bigint") * 10)
+    return spark.read.parquet(path).select(order_cells(spark, sf_dir).columns)
+
+
+@query("""
+select l_orderkey || '_' || l_linenumber as rowkey, cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as l_linenumber,
+  cast(l_partkey as varchar) as l_partkey, cast(l_suppkey as varchar) as l_suppkey, l_returnflag
+from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_extendedprice desc, l_partkey desc, l_suppkey desc) as rn
+  from lineitem) t where rn = 1
+""")
+def snk_bulk_load(spark, sf_dir):
+    path = work_path(spark, "wide_lines")
+    stores.bulk_load(table(spark, sf_dir, "lineitem"), path, ["l_orderkey", "l_linenumber"], LINE_ORDER)
+    return spark.read.parquet(path).select("rowkey", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+
+
+@query("select p_partkey, p_name, p_retailprice from part where p_size > 10")
+def snk_overwrite_table(spark, sf_dir):
+    path = work_path(spark, "archive")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_size")
+    stores.archive(part, name, path)
+    stores.archive(part.where("p_size > 10").drop("p_size"), name, path)
+    return spark.table(name)
+
+
+@query("""
+select cast(s_suppkey % 10 as varchar) as tenant, cast(s_suppkey as varchar) as key, s_name as value, '2019-03-31 00:00:00' as expires
+from supplier where s_suppkey % 9 <> 0 and s_suppkey % 4 <> 0
+union all select cast(s_suppkey % 10 as varchar), cast(s_suppkey as varchar), s_name || ' new', '2019-04-20 00:00:00'
+from supplier where s_suppkey % 9 <> 0 and s_suppkey % 4 = 0
+""")
+def snk_kv_cache(spark, sf_dir):
+    cache = KeyedTable(spark, work_path(spark, "cache"), stores.KV_SCHEMA, ["kv_table", "tenant", "key"], buckets=16)
+    key = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(
+        F.when(key % 9 == 0, "").otherwise(text(key)).alias("code"), text(key % 10).alias("tenant"), F.col("s_name").alias("name"), key.alias("id")
+    )
+
+    def at(day):
+        return F.lit(f"{day} 00:00:00").cast("timestamp")
+
+    cache.write_batch(stores.kv_rows(rows, "supplier_dim", "code", "name", "tenant", at("2019-03-01")), 0)
+    newer = rows.where("id % 4 = 0").withColumn("name", F.concat("name", F.lit(" new")))
+    cache.write_batch(stores.kv_rows(newer, "supplier_dim", "code", "name", "tenant", at("2019-03-21")), 1)
+    # Entries of another table that have run out by now.
+    cache.write_batch(stores.kv_rows(rows, "old_dim", "code", "name", "tenant", at("2019-01-01")), 2)
+    live = stores.live_entries(cache.read(), at("2019-03-25"))
+    return live.select("tenant", "key", "value", F.date_format("expires_at", "yyyy-MM-dd HH:mm:ss").alias("expires"))
+
+
+@query(with_views("ledger", "select * from ledger"))
+def snk_offset_ledger(spark, sf_dir):
+    target = KeyedTable(spark, work_path(spark, "ledger"), LEDGER_SCHEMA, LEDGER_KEY, buckets=1)
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+        F.concat(F.lit("app"), text(F.col("user_id") % 4)).alias("app"), F.date_format("ts", "yyyy-MM-dd HH").alias("hour"), "ts",
+    )
+    for batch, rows in enumerate((events.where("day(ts) <= 12"), events.where("day(ts) > 12"))):
+        target.write_batch(ledger_rows(rows, F.col("app"), F.col("hour")), batch)
+    return target.read()
+
+
+@query(with_views("deal trade order_event", f"select * from ({MAPPED_EVENT}) m where k_dt >= '1999-06-01'"))
+def snk_order_events(spark, sf_dir):
+    target = KeyedTable(spark, work_path(spark, "events"), EVENT_SCHEMA, EVENT_KEY, buckets=16)
+    rows = filter_retention(map_event(event_key(joined_events(spark, sf_dir), ["fplatform_id"]), LOADED), "k_dt", F.lit("1999-08-26"))
+    target.write_batch(rows, 0)
+    return target.read()
+
+
+@query(LEVELS)
+def snk_noop(spark, sf_dir):
+    rows = map_level(levels(spark, sf_dir), LOADED)
+    stores.dry_run(rows)
+    return rows
+
+
+@query("select p_partkey, p_name from part")
+def tbl_reset_state(spark, sf_dir):
+    path = work_path(spark, "state")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    stores.reset_tables(spark, {name: part.schema}, path)
+    part.write.mode("append").insertInto(name)
+    # What is there stays, unless a drop is asked for.
+    stores.reset_tables(spark, {name: part.schema}, path)
+    return spark.table(name)
+
+
+@query("select c_custkey, c_name from customer where c_custkey % 4 <> 0 union all select c_custkey, 'back' from customer where c_custkey % 8 = 0")
+def tbl_delete_keys(spark, sf_dir):
+    target = KeyedTable(spark, work_path(spark, "customers"), "c_custkey bigint, c_name string", ["c_custkey"], buckets=16)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    target.write_batch(customers, 0)
+    target.delete_keys(customers.where("c_custkey % 4 = 0"), 1)
+    target.compact()
+    target.write_batch(customers.where("c_custkey % 8 = 0").withColumn("c_name", F.lit("back")), 2)
+    return target.read()

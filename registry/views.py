@@ -143,9 +143,10 @@ select cast(s_suppkey % 10 as varchar) as k_ftenancy_id, cast(s_suppkey as varch
 
 
 def source_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tenants = F.explode(F.sequence(F.lit(0), F.lit(9)))
-    return table(spark, sf_dir, "nation").select(
-        tenants.cast("string").alias("k_ftenancy_id"), text("n_nationkey").alias("fmembersource"),
+    tenants = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("tenant")
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", tenants)
+    return rows.select(
+        text("tenant").alias("k_ftenancy_id"), text("n_nationkey").alias("fmembersource"),
         F.col("n_name").alias("fmembersource_name"),
     )
 

@@ -29,6 +29,13 @@ STORE_TYPES = {
     "date": "date",
     "datetime": "timestamp_ntz",
 }
+_TYPES = {
+    t.simpleString(): t
+    for t in (
+        T.BooleanType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType(),
+        T.StringType(), T.BinaryType(), T.DateType(), T.TimestampType(), T.TimestampNTZType(),
+    )
+}
 _INTEGERS = {"tinyint", "smallint", "int", "bigint"}
 _FLOATS = {"float", "double"}
 POLICIES = ("null", "skip", "zero", "error")
@@ -46,7 +53,7 @@ def schema_of(columns: list[tuple], micros_as_timestamp: bool = False) -> T.Stru
     """Target schema from (name, store type[, nullable]) tuples."""
     fields = []
     for name, store_type, *nullable in columns:
-        data_type = T._parse_datatype_string(spark_type(store_type, micros_as_timestamp))
+        data_type = _TYPES[spark_type(store_type, micros_as_timestamp)]
         fields.append(T.StructField(name, data_type, nullable[0] if nullable else True))
     return T.StructType(fields)
 
