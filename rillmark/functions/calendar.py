@@ -69,11 +69,13 @@ def hour(c: Column | str) -> Column:
 
 
 def week_number(d: Column) -> Column:
-    """Week of year, weeks start on Sunday and week 1 holds 1 January."""
+    """Week of year, weeks start on Sunday and week 1 holds 1 January.
+
+    A week belongs to the year of its Saturday, and the Saturdays of a year
+    are seven days apart: the n-th of them closes week n.
+    """
     saturday = F.date_add(d, 7 - F.dayofweek(d))
-    first_offset = F.dayofweek(F.trunc(d, "YEAR"))
-    in_year = F.floor((F.dayofyear(d) + first_offset - 2) / 7) + 1
-    return F.when(F.year(saturday) > F.year(d), F.lit(1)).otherwise(in_year).cast("int")
+    return F.ceil(F.dayofyear(saturday) / 7).cast("int")
 
 
 def year_week(c: Column | str) -> Column:
@@ -84,13 +86,13 @@ def year_week(c: Column | str) -> Column:
     """
     d = parsed(c).cast("date")
     text = F.concat(F.year(d).cast("string"), F.lit("-W"), F.lpad(week_number(d).cast("string"), 2, "0"))
-    return F.when(_col(c).isNotNull(), F.coalesce(text, F.lit("")))
+    return F.coalesce(text, F.when(_col(c).isNotNull(), ""))
 
 
 def weekday(c: Column | str) -> Column:
     """Monday 1 to Sunday 7; 0 when the time does not parse."""
     d = parsed(c).cast("date")
-    return F.when(_col(c).isNotNull(), F.coalesce(F.weekday(d) + 1, F.lit(0)))
+    return F.coalesce(F.weekday(d) + 1, F.when(_col(c).isNotNull(), 0))
 
 
 def year_week_day(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -13,17 +13,20 @@ from ..session import ensure_checkpoint_dir
 TOP_N_BOUND = 100_000
 
 
+def _column(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The last written row of every key.
 
-    ``order`` must tell any two rows of a key apart. Rows are reduced before
-    the shuffle, so a hot key costs one row per task.
+    ``order`` must tell any two rows of a key apart. The limit on the rank is
+    applied in every task before the shuffle, so a hot key sends one row per
+    task.
     """
-    values = [c for c in df.columns if c not in keys]
-    if not values:
-        return df.distinct()
-    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("_v")
-    return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_v.`{v}`").alias(v) for v in values])
+    newest_first = Window.partitionBy(*keys).orderBy(*[_column(c).desc() for c in order])
+    ranked = df.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def order_changes(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -37,6 +37,11 @@ def _parse(element: Column, lower: str | None, fields: Sequence[str] | None) ->
     return record
 
 
+def _records(value: str, lower: str | None = None, fields: Sequence[str] | None = None) -> Column:
+    """All elements of a message parsed; NULL for what does not parse."""
+    return F.transform(_elements(F.col(value)), lambda e: _parse(e, lower, fields))
+
+
 def decode_changes(
     df: DataFrame, value: str = "value", lower: str | None = None, fields: Sequence[str] | None = None
 ) -> DataFrame:
@@ -49,17 +54,15 @@ def decode_changes(
     the place within the message.
     """
     keep = _others(df, value)
-    records = F.transform(_elements(F.col(value)), lambda e: _parse(e, lower, fields))
-    parsed = df.select(*keep, records.alias("_records"))
-    whole = parsed.where(~F.exists("_records", lambda r: r.isNull()))
-    return whole.select(*keep, F.posexplode("_records").alias("position", "record"))
+    # One nested expression, exploded directly: a filter on a named column
+    # would be moved below its definition and parse every message again.
+    whole = F.filter(F.array(_records(value, lower, fields)), lambda rs: ~F.exists(rs, lambda r: r.isNull()))
+    return df.select(*keep, F.posexplode(F.flatten(whole)).alias("position", "record"))
 
 
 def undecodable(df: DataFrame, value: str = "value") -> DataFrame:
     """The messages ``decode_changes`` drops."""
-    records = F.transform(_elements(F.col(value)), lambda e: _parse(e, None, None))
-    bad = records.isNull() | F.exists(records, lambda r: r.isNull())
-    return df.where(bad)
+    return df.where(F.coalesce(F.exists(_records(value), lambda r: r.isNull()), F.lit(True)))
 
 
 def _one_or_many(value: Column, struct: str) -> Column:
