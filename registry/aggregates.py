@@ -106,6 +106,6 @@ def limit_scan(spark, sf_dir):
     return ordering.limit_scan(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey", 100)
 
 
-@query("select c_custkey, c_name from customer where regexp_matches(c_name, '[13579]$') order by c_name limit 50 offset 100")
+@query("select c_custkey, c_name from customer where regexp_matches(c_name, '[13579]$') order by c_name limit 20 offset 40")
 def page_scan(spark, sf_dir):
-    return page(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", "[13579]$", 3, 50)
+    return page(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", "[13579]$", 3, 20)

@@ -2,12 +2,16 @@
 
 Each lookup is a left join on a dimension reduced to one row per key. No
 broadcast is forced: a dimension under the broadcast threshold is broadcast,
-a larger one is joined by shuffle, where skewed partitions are split.
+a larger one is joined by shuffle. The join key is a struct built after the
+reduction, so both sides of that join are plain shuffles: only then can the
+runtime split the partition of a code that many rows share, or of the rows
+without a code.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +29,15 @@ def one_per_key(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> D
 def lookup(df: DataFrame, dim: DataFrame, on: dict[str, object], out: dict[str, str]) -> DataFrame:
     """Left join ``dim`` on ``{dim key: df column}``, adding ``{new column: dim value}``."""
     reduced = one_per_key(dim, list(on), list(out.values()))
-    renamed = reduced.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)],
+    keyed = reduced.select(
+        F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(on)]).alias("_key"),
         *[F.col(v).alias(n) for n, v in out.items()],
     )
-    condition = None
-    for i, source in enumerate(on.values()):
-        source = _col(source)
-        # An empty code is never looked up.
-        test = (F.when(~blank(source), source) == F.col(f"_k{i}"))
-        condition = test if condition is None else condition & test
-    return df.join(renamed, condition, "left").drop(*[f"_k{i}" for i in range(len(on))])
+    codes = [_col(c).cast("string") for c in on.values()]
+    wanted = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(codes)])
+    # An empty code is never looked up.
+    known = reduce(lambda a, b: a & b, [~blank(c) for c in codes])
+    return df.withColumn("_code", F.when(known, wanted)).join(keyed, F.col("_code") == F.col("_key"), "left").drop("_code", "_key")
 
 
 def enrich_region(df: DataFrame, dim: DataFrame, col: str = "fregion") -> DataFrame:
