@@ -164,8 +164,8 @@ select event_id, ftenancyid as k_ftenancy_id, fuid as k_fid, case when faccountt
 from score where faccounttype in ('2', '4')
 """))
 def map_score(spark, sf_dir):
-    rows = filter_account(score(spark, sf_dir)).withColumn("_place", F.col("event_id"))
-    return customers.map_score(rows, LOADED).withColumnRenamed("_place", "event_id")
+    rows = filter_account(score(spark, sf_dir)).withColumn("_place", F.struct("event_id"))
+    return customers.map_score(rows, LOADED).select("*", "_place.event_id").drop("_place")
 
 
 MEMBER_HAVE = [

@@ -17,7 +17,7 @@ from ..functions import calendar as cal
 from ..functions.coerce import coerce, required_columns
 from ..functions.text import blank
 from ..operators.filters import all_present, parse_condition
-from .common import source_columns
+from .common import carried, source_columns
 
 TIME_TARGET = "_fopt_time"
 TENANT_TARGET = "_ftenancy_id"
@@ -82,6 +82,17 @@ def required_sources(config: Mapping, schema: T.StructType) -> list[str]:
     return sorted(set(sources.values()))
 
 
+def source_fields(config: Mapping) -> list[str]:
+    """All source fields a configuration reads."""
+    found = {m["source"] for rule in config["configs"] for m in rule["mappping"] if m.get("source")}
+    for rule in config["configs"]:
+        condition = rule.get("condition")
+        parts = parse_condition(condition) if isinstance(condition, str) else condition
+        if parts:
+            found.add(parts[0])
+    return sorted(found)
+
+
 def require_sources(df: DataFrame, config: Mapping, schema: T.StructType) -> DataFrame:
     return df.where(all_present(required_sources(config, schema)))
 
@@ -142,8 +153,11 @@ def fanout_events(df: DataFrame, config: Mapping, schema: T.StructType, on_error
         if on_error == "drop":
             wanted = wanted & ~bad
         rows.append(F.when(wanted, row))
-    exploded = df.select(F.explode(F.array(*rows)).alias("_e")).where(F.col("_e").isNotNull())
-    return exploded.select("_e.*")
+    place = carried(df)
+    exploded = df.select(*place, F.posexplode(F.array(*rows)).alias("_rule", "_e")).where(F.col("_e").isNotNull())
+    # Rows of one record share its place; the rule tells them apart.
+    told = [F.struct("_place.*", F.col("_rule").alias("rule")).alias("_place")] if place else []
+    return exploded.select("_e.*", *told)
 
 
 def map_events(
@@ -156,5 +170,5 @@ def map_events(
     """
     rows = fanout_events(df, config, schema, on_error)
     return rows.select(
-        *[coerce(F.col(f.name), f.dataType.simpleString(), policy).alias(f.name) for f in schema.fields]
+        *[coerce(F.col(f.name), f.dataType.simpleString(), policy).alias(f.name) for f in schema.fields], *carried(rows)
     )

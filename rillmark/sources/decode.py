@@ -81,9 +81,9 @@ def decode_content(df: DataFrame, platform_key: str, value: str = "value") -> Da
     """``{<platform>, content}`` envelopes to content records holding the platform."""
     keep = _others(df, value)
     struct = f"struct<`{platform_key}`: string, content: {MAP}>"
-    rows = df.select(*keep, F.explode(_one_or_many(F.col(value), struct)).alias("_e"))
+    rows = df.select(*keep, F.posexplode(_one_or_many(F.col(value), struct)).alias("position", "_e"))
     record = _put(F.col("_e.content"), platform_key, F.col(f"_e.`{platform_key}`"))
-    return rows.where(F.col("_e.content").isNotNull()).select(*keep, record.alias("record"))
+    return rows.where(F.col("_e.content").isNotNull()).select(*keep, "position", record.alias("record"))
 
 
 def decode_batches(
@@ -96,16 +96,18 @@ def decode_batches(
     """``content.data[]`` rows with platform and type attached.
 
     ``only_type`` keeps one kind of envelope before its rows are unpacked.
+    ``position`` is the place of the envelope and of the row in it.
     """
     keep = _others(df, value)
     struct = f"struct<content: struct<type: string, platformNum: string, data: array<{MAP}>>>"
-    rows = df.select(*keep, F.explode(_one_or_many(F.col(value), struct)).alias("_e"))
-    rows = rows.select(*keep, "_e.content.*")
+    rows = df.select(*keep, F.posexplode(_one_or_many(F.col(value), struct)).alias("_n", "_e"))
+    rows = rows.select(*keep, "_n", "_e.content.*")
     if only_type is not None:
         rows = rows.where(F.col("type") == str(only_type))
-    rows = rows.select(*keep, "type", "platformNum", F.explode("data").alias("record"))
+    rows = rows.select(*keep, "_n", "type", "platformNum", F.posexplode("data").alias("_m", "record"))
     record = _put(_put(F.col("record"), platform_field, F.col("platformNum")), type_field, F.col("type"))
-    return rows.where(F.col("record").isNotNull()).select(*keep, record.alias("record"))
+    position = F.struct(F.col("_n").alias("envelope"), F.col("_m").alias("row")).alias("position")
+    return rows.where(F.col("record").isNotNull()).select(*keep, position, record.alias("record"))
 
 
 def decode_path(df: DataFrame, path: str, value: str = "value") -> DataFrame:
