@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -18,15 +19,20 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Open windows may hold more records than fit in executor heaps.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _own_folder: str | None = None
+_configured: weakref.WeakSet = weakref.WeakSet()
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings this library relies on to a session."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+    """Apply the runtime settings this library relies on, once per session."""
+    if spark not in _configured:
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
+        _configured.add(spark)
     return spark
 
 
