@@ -1,13 +1,13 @@
 """Mapping driven by a configuration.
 
 A configuration lists rules. Each rule has an event id, an optional condition
-and, per target column, a source field or a constant. It is compiled into one
-projection: a record is read once and gives a row per rule it matches.
+and, per target column, a source field or a constant. It becomes one plan over
+one read of the records, which gives a row per rule a record matches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,52 +112,75 @@ def _underivable(name: str, time: Column) -> Column:
     return F.lit(False)
 
 
-def _rule_row(rule: dict, schema: T.StructType, keys: set[str], get) -> tuple[Column, Column]:
-    """Row struct of a rule and the flag that all its derivations work."""
-    time_mapping = rule["by_target"].get(TIME_TARGET)
-    time = get(time_mapping["source"]) if time_mapping else F.lit(None).cast("string")
-    values, bad = [], F.lit(False)
-    for field in schema.fields:
-        name = field.name
-        mapping = rule["by_target"].get(name.lower()) if name in keys else None
-        if mapping is None:
-            value = F.lit(None).cast("string")
-        elif mapping.get("defaultvalue"):
-            value = F.lit(mapping["defaultvalue"])
-        else:
-            value = get(mapping["source"])
-        if name == EVENT_TARGET:
-            # Without a time there is no event id either; stored data has it so.
-            event = F.when(time.isNotNull(), F.lit(rule["eventId"]))
-            value = F.when(blank(value), event).otherwise(value)
-        elif name in DERIVED:
-            bad = bad | (blank(value) & time.isNotNull() & _underivable(name, time))
-            value = F.when(blank(value), DERIVED[name](time)).otherwise(value)
-        values.append(value.alias(name))
-    return F.struct(*values), F.coalesce(bad, F.lit(False))
+def _per_rule(rules: list[dict], choose: Callable[[dict], tuple], get) -> Column:
+    """A column whose definition depends on the rule of the row.
+
+    ``choose`` names a rule's definition: a source field, a constant or
+    nothing. Rules with the same one share it.
+    """
+    groups: dict[tuple, list[int]] = {}
+    for number, rule in enumerate(rules):
+        groups.setdefault(choose(rule), []).append(number)
+
+    def column(definition: tuple) -> Column:
+        kind, text = definition
+        return get(text) if kind == "source" else F.lit(text).cast("string")
+
+    if len(groups) == 1:
+        return column(next(iter(groups)))
+    (definition, numbers), *rest = groups.items()
+    chain = F.when(F.col("_rule").isin(numbers), column(definition))
+    for definition, numbers in rest:
+        chain = chain.when(F.col("_rule").isin(numbers), column(definition))
+    return chain
+
+
+def _definition(mapping: dict | None) -> tuple:
+    if mapping is None:
+        return "constant", None
+    return ("constant", mapping["defaultvalue"]) if mapping.get("defaultvalue") else ("source", mapping["source"])
 
 
 def fanout_events(df: DataFrame, config: Mapping, schema: T.StructType, on_error: str = "drop") -> DataFrame:
     """One text row per record and matching rule.
 
-    A row one of whose derived columns cannot be computed is dropped; with
-    ``on_error="keep"`` it stays with that column NULL.
+    The rules a record matches are found first; columns are then computed
+    once per row, whatever the number of rules. A row one of whose derived
+    columns cannot be computed is dropped; with ``on_error="keep"`` it stays
+    with that column NULL.
     """
-    get = source_columns(df)
     rules = _rules(config)
-    keys = {m["target"] for rule in config["configs"] for m in rule["mappping"]}
-    rows = []
-    for rule in rules:
-        row, bad = _rule_row(rule, schema, keys, get)
-        wanted = condition_column(rule.get("condition"), get)
-        if on_error == "drop":
-            wanted = wanted & ~bad
-        rows.append(F.when(wanted, row))
-    place = carried(df)
-    exploded = df.select(*place, F.posexplode(F.array(*rows)).alias("_rule", "_e")).where(F.col("_e").isNotNull())
+    keys = {m["target"] for rule in rules for m in rule["mappping"]}
+    get = source_columns(df)
+    matched = F.array(*[F.when(condition_column(r.get("condition"), get), F.lit(i)) for i, r in enumerate(rules)])
+    rows = df.select("*", F.explode(matched).alias("_rule")).where(F.col("_rule").isNotNull())
+
+    def time_of(rule: dict) -> tuple:
+        mapping = rule["by_target"].get(TIME_TARGET)
+        return ("source", mapping["source"]) if mapping else ("constant", None)
+
+    rows = rows.withColumn("_time", _per_rule(rules, time_of, get))
+    time, bad, out = F.col("_time"), F.lit(False), []
+    for name in schema.names:
+        value = _per_rule(rules, lambda r: _definition(r["by_target"].get(name.lower()) if name in keys else None), get)
+        if name == EVENT_TARGET:
+            # Without a time there is no event id either; stored data has it so.
+            event = _per_rule(rules, lambda r: ("constant", r["eventId"]), get)
+            value = F.when(blank(value), F.when(time.isNotNull(), event)).otherwise(value)
+        elif name in DERIVED:
+            derived = DERIVED[name](time)
+            if name in keys:
+                bad = bad | (blank(value) & time.isNotNull() & _underivable(name, time))
+                derived = F.when(blank(value), derived).otherwise(value)
+            else:
+                bad = bad | (time.isNotNull() & _underivable(name, time))
+            value = derived
+        out.append(value.alias(name))
+    if on_error == "drop":
+        rows = rows.where(~F.coalesce(bad, F.lit(False)))
     # Rows of one record share its place; the rule tells them apart.
-    told = [F.struct("_place.*", F.col("_rule").alias("rule")).alias("_place")] if place else []
-    return exploded.select("_e.*", *told)
+    told = [F.struct("_place.*", F.col("_rule").alias("rule")).alias("_place")] if carried(df) else []
+    return rows.select(*out, *told)
 
 
 def map_events(
