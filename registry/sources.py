@@ -91,6 +91,6 @@ def src_warehouse_scan(spark, sf_dir):
     return scan_table(spark, name, "o_orderstatus = 'O'")
 
 
-@query("select p_partkey, p_name, p_retailprice from part where p_brand = 'Brand#2' and p_size = 11")
+@query("select p_partkey, p_name, p_retailprice from part where p_type = 'ECONOMY' and p_size = 11")
 def src_keyed_scan(spark, sf_dir):
-    return scan_keyed(table(spark, sf_dir, "part"), {"p_brand": "Brand#2", "p_size": "11"}, ["p_partkey", "p_name", "p_retailprice"])
+    return scan_keyed(table(spark, sf_dir, "part"), {"p_type": "ECONOMY", "p_size": "11"}, ["p_partkey", "p_name", "p_retailprice"])
