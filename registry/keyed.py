@@ -70,8 +70,7 @@ def key_prefix(spark, sf_dir):
 
 
 @query(f"""
-select * from ({LINES}) x where exists (
-  select 1 from orders where o_orderstatus = 'P' and starts_with(rowkey, o_orderkey || '_'))
+select * from ({LINES}) x where split_part(rowkey, '_', 1) in (select cast(o_orderkey as varchar) from orders where o_orderstatus = 'P')
 """)
 def key_prefix_any(spark, sf_dir):
     prefixes = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.concat(text("o_orderkey"), F.lit("_")).alias("prefix"))

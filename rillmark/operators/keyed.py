@@ -10,12 +10,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import matching
+
 CELL_COLUMNS = ["rowkey", "family", "column", "value", "ts"]
 
 
 def get_rows(df: DataFrame, keys: DataFrame, key: str = "rowkey") -> DataFrame:
     """Rows of many keys at once; ``keys`` has the same key column."""
-    return df.join(keys.select(key), key, "left_semi")
+    return matching(df, keys, [key])
 
 
 def get_column(cells: DataFrame, key, column: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,25 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) ->
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose ``on`` columns are among those of ``keys``.
+
+    Repeated keys are reduced before the shuffle. The struct is built after
+    that, so both sides of the join are plain shuffles and the runtime can
+    split the rows of a hot key.
+    """
+    types = {c: df.schema[c].dataType for c in on}
+    wanted = keys.select(*[F.col(c).cast(types[c]).alias(c) for c in on]).distinct()
+    wanted = wanted.select(F.struct(*on).alias("_wanted")).where(all_known("_wanted", on))
+    keyed = df.withColumn("_key", F.struct(*on))
+    return keyed.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi").drop("_key")
+
+
+def all_known(struct: str, names: Sequence[str]) -> Column:
+    """True where no field of a struct is NULL: NULL equals nothing."""
+    return reduce(lambda a, b: a & b, [F.col(f"{struct}.{n}").isNotNull() for n in names])
+
+
 def order_changes(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by ``order``, so the whole is ordered.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import registry
 from rillmark.operators.enrich import enrich_name
 from rillmark.operators.events import DEAL_KEY, join_changes, join_deal_trades
+from rillmark.operators.keyed import get_rows
 from rillmark.operators.ordering import latest
 from rillmark.session import work_path
 from rillmark.sinks.keyed_table import KeyedTable
@@ -85,7 +86,15 @@ def test_hot_key_in_a_table_read_by_keys_is_split(big):
     t = KeyedTable(big, work_path(big, "hot"), "k string, n string, v string", ["k", "n"], bucket_on=["k"])
     t.write_batch(big.range(0, 60000, 1, 8).select(hot(3000).alias("k"), F.col("id").cast("string").alias("n"), F.lit("x").alias("v")), 0)
     keys = big.range(-1, 2).select(F.col("id").cast("string").alias("k"))
-    found = t.read(keys, unique=True)
+    found = t.read(keys.unionByName(keys))
+    assert "SortMergeJoin(skew=true)" in plan(found)
+    assert found.count() == 20000 + 20
+
+
+def test_keys_asked_for_many_times_are_reduced_first(big):
+    df = big.range(0, 60000, 1, 8).select(hot(3000).alias("rowkey"), F.col("id").alias("v"))
+    keys = big.range(0, 60000, 1, 8).select(hot(3000).alias("rowkey")).where("rowkey in ('-1', '7')")
+    found = get_rows(df, keys)
     assert "SortMergeJoin(skew=true)" in plan(found)
     assert found.count() == 20000 + 20
 

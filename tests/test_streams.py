@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 from rillmark.session import work_path
 from rillmark.sinks.keyed_table import KeyedTable
 from rillmark.sources.changes import MESSAGE_SCHEMA, read_changes
+from rillmark.sources.tables import poll_every
 from rillmark.streaming.change_join import ChangeJoin
 from rillmark.streaming.jobs import EntityJob, ledger_table, run_batch, run_job
 from rillmark.streaming.windows import tumble, with_event_time
 
 import json
+import time
 
 
 class Plain(EntityJob):
@@ -115,6 +117,23 @@ def test_tumble_gives_closed_windows_once(spark):
     assert got == [(i, 1_600_000_020 + i * 20 // 60 * 60) for i in range(9)]
 
 
+def test_polling_reads_the_table_again_on_every_tick(spark):
+    seen, path = [], work_path(spark, "polled")
+    spark.range(5).select((F.col("id") * 2).alias("k")).write.parquet(path)
+
+    def sink(df, tick):
+        seen.append(sorted(r["rowkey"] for r in df.collect()))
+        if tick == 0:
+            spark.createDataFrame([(1,)], "k bigint").write.mode("append").parquet(path)
+
+    run = poll_every(spark, lambda: spark.read.parquet(path), sink, "k", n=3, every="1 second")
+    deadline = time.time() + 60
+    while len(seen) < 2 and time.time() < deadline:
+        time.sleep(0.2)
+    run.stop()
+    assert seen[0] == ["0", "2", "4"] and seen[1] == ["0", "1", "2"]
+
+
 def test_batch_frames_give_all_windows(spark):
     df = spark.createDataFrame([(1, "0"), (2, "61000")], "id bigint, opttime string")
     assert tumble(with_event_time(df), "60 seconds", ["id"]).count() == 2
