@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, packing, quality, secrets, warc
+from . import chat, lm, packing, quality, secrets, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -27,6 +28,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
+
+
 @query()
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, folder = warc.archive(spark, table(spark, sf_dir, "pages"))
