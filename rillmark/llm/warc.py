@@ -144,7 +144,11 @@ def read(index: DataFrame, folder: str, gap: int = 64 << 10, most: int = 8 << 20
             got = got.astype({"page_id": "Int64", "refers_to": "Int64"})
             yield got if payload else got.drop(columns="payload")
 
-    places = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # Index rows are small, what they stand for is not: the number of tasks follows the bytes to read.
+    spark = index.sparkSession
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (64 << 20) + 1)
+    places = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return places.mapInPandas(run, RECORD + (", payload binary" if payload else ""))
 
 
