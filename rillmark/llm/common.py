@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_process(key, make):
+    """A value kept by a worker process from one task to the next; tasks may not rely on it being there."""
+    kept = sys.modules.setdefault("_rillmark_kept", types.ModuleType("_rillmark_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 class WordIds(dict):
     """64-bit hash of each word seen, kept while there are at most ``most`` of them (a cache: dropping it changes no value)."""
 

@@ -11,8 +11,10 @@ Defined cases: a null or empty text is the end token alone; repeated rows are pa
 
 from __future__ import annotations
 
+import os
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,42 +22,92 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, staged
+from .common import WORD, per_process, staged
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
 
 
-class Encoder(dict):
-    """Little-endian ids of words. White space separates tokens of this vocabulary, so a text's ids are its words' ids."""
+class Encoder:
+    """Little-endian ids of texts, word by word. White space separates tokens of this vocabulary, so a text's ids are its words' ids.
 
-    def __init__(self, path: str, most: int = 300_000):
+    Ids of words seen are kept in two generations of at most ``most`` words: when the young one is full it becomes the old one,
+    and words met again move back. A comma or full stop after a letter is a token of its own, and plain letters are lower-cased.
+    """
+
+    def __init__(self, path: str, most: int = 500_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.model, self.most = Tokenizer.from_file(path), most
+        self.young, self.old = {}, {}
+        self.last = np.zeros(max(self.model.get_vocab().values()) + 1, bool)
+        self.last[[i for x, i in self.model.get_vocab().items() if x.endswith("</w>")]] = True
+        self.ends = {x: self.packed(self.model.encode(x, add_special_tokens=False).ids) for x in ",."}
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def stem(self, word: str) -> tuple[str, bytes]:
+        end = b""
+        if word[-1] in ",." and word[-2:-1].isalpha():
+            word, end = word[:-1], self.ends[word[-1]]
+        return word.lower() if word.isascii() and word.isalpha() else word, end
 
     def learn(self, words: set[str]) -> None:
-        if new := [w for w in words if w not in self]:
-            if len(self) + len(new) > self.most:
-                self.clear()
-                new = list(words)
-            for w, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Give every word an entry in the young generation."""
+        if len(self.young) + 2 * len(words) > self.most:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        words = words.difference(young)
+        stems = {}
+        for w in words:
+            if (known := old.get(w)) is not None:
+                young[w] = known
+            else:
+                stems[w] = self.stem(w)
+        unknown = {stem for stem, _ in stems.values()}.difference(young)
+        self.encode([w for w in unknown if w.isalpha()])
+        other = [w for w in unknown if not w.isalpha()]
+        for w, e in zip(other, self.model.encode_batch_fast(other, add_special_tokens=False)):
+            young[w] = self.packed(e.ids)
+        for w, (stem, end) in stems.items():
+            young[w] = young[stem] + end
+
+    def encode(self, words: list[str]) -> None:
+        """Words of letters only, many at a time: each is one run of tokens, of which the last is marked as a word's end."""
+        for at in range(0, len(words), 1000):
+            own = words[at : at + 1000]
+            ids = np.array(self.model.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
+            if len(cuts) != len(own) + 1:  # a letter that becomes several words
+                self.young.update((w, self.packed(self.model.encode(w, add_special_tokens=False).ids)) for w in own)
+                continue
+            ids = ids.tobytes()
+            self.young.update((w, ids[a:b]) for w, a, b in zip(own, cuts, cuts[1:]))
+
+    def __call__(self, texts: Iterable[str | None], most: int = 100_000) -> Iterator[bytes]:
+        """Ids of each text; words are learnt for up to ``most`` words of consecutive texts at once, long texts in parts."""
+        waiting, n = [], 0
         for text in texts:
-            words = WORD.findall(text or "")
-            for at in range(0, max(1, len(words)), 100_000):
-                part = words[at : at + 100_000]
-                self.learn(set(part))
-                if at == 0 and len(words) <= 100_000:
-                    yield b"".join(map(self.__getitem__, part))
-                    break
-                if at == 0:
-                    long = []
-                long.append(b"".join(map(self.__getitem__, part)))
+            text = text or ""
+            # Letters are lower-cased by the tokenizer too, but names of its special tokens are looked for before that.
+            words = WORD.findall(text.lower() if text.isascii() and "<|" not in text else text)
+            if n + len(words) > most:
+                yield from self.known(waiting)
+                waiting, n = [], 0
+            if len(words) > most:
+                yield b"".join(x for at in range(0, len(words), most) for x in self.known([words[at : at + most]]))
             else:
-                yield b"".join(long)
+                waiting.append(words)
+                n += len(words)
+        yield from self.known(waiting)
+
+    def known(self, texts: list[list[str]]) -> list[bytes]:
+        self.learn(set().union(*texts))
+        ids = self.young.__getitem__
+        return [b"".join(map(ids, words)) for words in texts]
 
 
 def pieces(df: DataFrame, tokenizer: str, longest: int = TIERS[-1]) -> DataFrame:
@@ -63,7 +115,8 @@ def pieces(df: DataFrame, tokenizer: str, longest: int = TIERS[-1]) -> DataFrame
     end = np.array([END], "<u4").tobytes()
 
     def cut(batches):
-        encode, part, seen = Encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(longest + 1, np.int64)
+        encode = per_process(("encoder", tokenizer), lambda: Encoder(tokenizer))
+        part, seen = TaskContext.get().partitionId(), np.zeros(longest + 1, np.int64)
         for pdf in batches:
             rows = []
             for doc, ids in zip(pdf["doc_id"], encode(list(pdf["text"]))):
