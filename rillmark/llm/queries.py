@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lm, packing, quality, secrets, warc
+from . import chat, jaccard, lm, packing, quality, secrets, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -65,6 +65,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summaries(chat.write(turns))
 
 
+@query()
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))[1].select("doc_id", "n_shingles", "component_id")
+
+
 @query()
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
