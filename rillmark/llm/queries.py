@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, lm, packing, quality, secrets, warc
+from . import chat, jaccard, lm, packing, quality, repeats, secrets, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -39,6 +39,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index, folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query()
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
