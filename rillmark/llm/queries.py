@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, lm, packing, quality, repeats, secrets, warc
+from . import chat, jaccard, leaks, lm, packing, quality, repeats, secrets, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -71,6 +71,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summaries(chat.write(turns))
 
 
+@query()
+def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))[1].select("doc_id", "n_shingles", "component_id")
