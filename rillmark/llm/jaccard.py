@@ -266,3 +266,11 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 4, pe
     placed = placed.withColumn("class", F.when(F.col("doc").isNotNull() & (F.col("size") > 0), F.col("class")).otherwise(F.col("doc")))
     out = placed.join(joined.withColumnRenamed("node", "class"), "class", "left")
     return links, out.select(F.col("doc").alias(id), F.col("size").alias("n_shingles"), "class", F.coalesce("component", "class").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
+    """The rows, with all their columns, of the smallest id of each component. Of rows that are equal in id and text one stays; rows without an id all do."""
+    placed = join(docs, id, text, n, percent)[1]
+    gone = staged(placed.where(F.col(id) != F.col("component_id")).select(id).distinct(), "near-copies")
+    kept = docs.join(gone, id, "left_anti").select(docs.columns)
+    return kept.where(F.col(id).isNull()).unionByName(kept.where(F.col(id).isNotNull()).dropDuplicates([id, text]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, leaks, lm, packing, quality, repeats, secrets, warc
+from . import chat, extract, jaccard, leaks, lm, packing, quality, repeats, secrets, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -45,6 +45,12 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query()
+def op4_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract.main_text(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query()
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
