@@ -6,6 +6,7 @@ Cells are rows of (rowkey, family, column, value, ts), values as text.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,18 +39,22 @@ def key_prefix(df: DataFrame, prefix: str, key: str = "rowkey") -> DataFrame:
 def key_prefix_any(df: DataFrame, prefixes: DataFrame, key: str = "rowkey", prefix: str = "prefix") -> DataFrame:
     """Rows whose key starts with any of many prefixes.
 
-    One equality join per distinct prefix length, of which there are no more
-    than a key has characters; rows are never multiplied.
+    A prefix that starts with another one is left out, so a row matches one at
+    most. For each length that remains, of which there are no more than a key
+    has characters, rows are matched with the prefixes of that length; a
+    prefix that very many rows have is split like any hot key.
     """
     wanted = prefixes.select(F.col(prefix).alias("_prefix")).where(F.length("_prefix") > 0).distinct()
     lengths = sorted(r[0] for r in wanted.select(F.length("_prefix")).distinct().collect())
-    hit = F.lit(False)
-    out = df
-    for n in lengths:
-        mine = wanted.where(F.length("_prefix") == n).select(F.col("_prefix").alias(f"_p{n}"))
-        out = out.join(mine, F.substring(df[key], 1, n) == F.col(f"_p{n}"), "left")
-        hit = hit | F.col(f"_p{n}").isNotNull()
-    return out.where(hit).select(*df.columns)
+    parts = []
+    for i, n in enumerate(lengths):
+        mine = wanted.where(F.length("_prefix") == n)
+        for m in lengths[:i]:
+            shorter = wanted.where(F.length("_prefix") == m).select(F.col("_prefix").alias("_shorter"))
+            mine = mine.join(shorter, F.substring("_prefix", 1, m) == F.col("_shorter"), "left_anti")
+        rows = df.withColumn("_prefix", F.substring(key, 1, n))
+        parts.append(matching(rows, mine, ["_prefix"]).drop("_prefix"))
+    return reduce(DataFrame.unionAll, parts) if parts else df.limit(0)
 
 
 def key_regex(df: DataFrame, pattern: str, key: str = "rowkey") -> DataFrame:

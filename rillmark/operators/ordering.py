@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# A page that ends within this many rows is taken by a top-n.
-TOP_N_BOUND = 100_000
-
-
 def _column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -87,15 +83,15 @@ def limit_scan(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def page(df: DataFrame, key: str, pattern: str, number: int, size: int) -> DataFrame:
+def page(df: DataFrame, key: str, pattern: str, number: int, size: int, unique: Sequence[str] = ()) -> DataFrame:
     """Page ``number`` (from 1) of ``size`` rows whose key matches a regex.
 
-    Early pages are a top-n. A deep page would gather every row before it in
-    one task, so beyond the bound rows are numbered in parallel instead.
+    ``unique`` are columns that, with the key, tell any two rows apart:
+    without such an order rows with equal keys could be on two pages or none.
+    Every task keeps the rows up to the end of the page.
     """
+    if not unique:
+        raise ValueError("name the columns that make the order unique, the key itself if it is")
     rows = df.where(F.col(key).cast("string").rlike(pattern))
-    start = (number - 1) * size
-    if start + size <= TOP_N_BOUND:
-        return rows.orderBy(key).offset(start).limit(size)
-    numbered = with_sequence(rows, [key], "_seq")
-    return numbered.where((F.col("_seq") > start) & (F.col("_seq") <= start + size)).drop("_seq")
+    order = list(dict.fromkeys([key, *unique]))
+    return rows.orderBy(*order).offset((number - 1) * size).limit(size)

@@ -26,11 +26,6 @@ def archive(df: DataFrame, table: str, path: str | None = None, partition_by: Se
     writer.saveAsTable(table)
 
 
-def load_partitions(rows: int, rows_per_partition: int = 50_000, most: int = 20_000) -> int:
-    """Partitions of a bulk load; beyond ``most`` they hold more rows each."""
-    return min(rows // rows_per_partition + 1, most)
-
-
 def wide_rows(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Row key and all columns as text."""
     return df.select(row_key(key_cols).alias("rowkey"), *[F.col(c).cast("string").alias(c) for c in df.columns])
@@ -40,12 +35,13 @@ def bulk_load(df: DataFrame, path: str, key_cols: Sequence[str], order: Sequence
     """Load a warehouse table into a keyed wide store, sorted by row key.
 
     Of rows with the same key the last by ``order`` is kept. The store is
-    ranges of keys, so reads by key prefix or range skip files.
+    ranges of keys, so reads by key prefix or range skip files. No file has
+    more than ``rows_per_partition`` rows; the number of tasks is the
+    shuffle's, joined where they are small.
     """
     last = latest(df, list(key_cols), list(order)).select(*df.columns)
-    n = load_partitions(df.count(), rows_per_partition)
-    wide = wide_rows(last, key_cols)
-    wide.repartitionByRange(n, "rowkey").sortWithinPartitions("rowkey").write.mode("overwrite").parquet(path)
+    wide = wide_rows(last, key_cols).repartitionByRange("rowkey").sortWithinPartitions("rowkey")
+    wide.write.mode("overwrite").option("maxRecordsPerFile", rows_per_partition).parquet(path)
 
 
 def write_cells(df: DataFrame, path: str, key: str, ts: Column, family: str = "info", mode: str = "append") -> None:
@@ -53,8 +49,8 @@ def write_cells(df: DataFrame, path: str, key: str, ts: Column, family: str = "i
     to_cells(df, key, ts, family).write.mode(mode).parquet(path)
 
 
-def kv_rows(df: DataFrame, table: str, key: str, value: str, tenant: str, now: Column | None = None, ttl: int = 30 * DAY_SECONDS) -> DataFrame:
-    """Cache entries of a dimension batch; rows with an empty key are skipped."""
+def kv_rows(df: DataFrame, table: str, key: str, value: str, tenant: str, now: Column | None = None, ttl: int = 30 * DAY_SECONDS, carry: Sequence[str] = ()) -> DataFrame:
+    """Cache entries of a dimension batch, with the columns in ``carry``; rows with an empty key are skipped."""
     now = F.current_timestamp() if now is None else now
     return df.where(~blank(key)).select(
         F.lit(table).alias("kv_table"),
@@ -62,6 +58,7 @@ def kv_rows(df: DataFrame, table: str, key: str, value: str, tenant: str, now: C
         F.col(key).cast("string").alias("key"),
         F.col(value).cast("string").alias("value"),
         (now + F.make_dt_interval(secs=F.lit(ttl))).alias("expires_at"),
+        *carry,
     )
 
 

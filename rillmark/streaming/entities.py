@@ -17,8 +17,8 @@ from ..plans import commerce, customers
 from ..plans.configured import map_events, required_sources, source_fields, tenant_field
 from ..sinks.keyed_table import KeyedTable
 from ..sinks.stores import KV_SCHEMA, dry_run, kv_rows
-from ..sources.decode import decode_batches, decode_content, fields
-from .jobs import EntityJob
+from ..sources.decode import decode_batches, decode_content, fields, undecodable_batches, undecodable_content
+from .jobs import ARRIVAL, EntityJob
 
 CALENDAR = ["k_dt", "k_year", "k_year_quarter", "k_year_month", "k_year_week", "k_y_m_tenofmonth", "k_hours", "k_year_week_day"]
 
@@ -246,10 +246,13 @@ class DimensionJob(EntityJob):
 
     def save(self, rows, batch_id):
         self.entity.save(rows, batch_id)
-        # What was stored by this batch, one row per key.
-        stored = self.target.read(rows)
-        entries = kv_rows(stored, self.dim, self.key, self.value, self.tenant, self.now)
-        self.cache.write_batch(entries, batch_id, order=["value"])
+        # What was stored by this batch, one row per key, with its place: of
+        # rows that share a cache entry the one that came last is kept.
+        arrival = [c for c in ARRIVAL if c in rows.columns]
+        last = rows.groupBy(*self.target.keys).agg(F.max(F.struct(*arrival)).alias("_at"))
+        stored = self.target.read(rows).join(last, self.target.keys)
+        entries = kv_rows(stored, self.dim, self.key, self.value, self.tenant, self.now, carry=["_at"])
+        self.cache.write_batch(entries, batch_id, order=["_at"], feed=self.feed)
 
 
 class ConfiguredJob(EntityJob):
@@ -272,6 +275,9 @@ class ConfiguredJob(EntityJob):
             return filter_envelope(fields(rows, [*wanted, "_cal_type_sel"]), self.spec, platform_col=self.tenant)
         return fields(decode_content(messages, self.tenant), wanted)
 
+    def undecodable(self, messages):
+        return undecodable_batches(messages) if "#" in self.spec else undecodable_content(messages, self.tenant)
+
     def validate(self, records):
         return all_present(required_sources(self.config, self.target.schema))
 

@@ -116,3 +116,38 @@ def test_config_mapping(frame):
     assert got == sorted([("7", "e1", 3, "08"), ("all", None, None, None), ("all", None, None, None), ("all", None, None, None)], key=repr)
     assert fanout_events(df, CONFIG, TARGET, on_error="keep").count() == 5
     assert tenant_field(CONFIG) == "p"
+
+
+def test_numbers_keep_their_text(spark):
+    inner = '{"a":1.50,"b":10000000.0,"c":12345678901234567890.12,"d":-1e5,"e":"x 2.50, 3","f":{"g":[1.10,"4.0"]},"h":null,"i":true}'
+    want = {"a": "1.50", "b": "10000000.0", "c": "12345678901234567890.12", "d": "-1e5", "e": "x 2.50, 3", "f": '{"g":[1.10,"4.0"]}', "h": None, "i": "true"}
+    for text in (f"[{inner}]", json.dumps([inner]), f"[ {inner}]"):
+        (row,) = decode.decode_changes(messages(spark, text)).collect()
+        assert row["record"] == want
+        (row,) = decode.decode_changes(messages(spark, text), fields=list(want)).collect()
+        assert row["record"].asDict() == want
+    content = decode.decode_content(messages(spark, f'{{"p":1.0,"content":{inner}}}'), "p").collect()
+    assert content[0]["record"] == {**want, "p": "1.0"}
+    batches = decode.decode_batches(messages(spark, f'[{{"content":{{"type":2,"platformNum":7,"data":[{inner}]}}}}]'), only_type=2).collect()
+    assert batches[0]["record"] == {**want, "cal_platformNum": "7", "_cal_type_sel": "2"}
+    (row,) = decode.decode_path(messages(spark, f'{{"x":{{"y":{inner}}}}}'), "x.y").collect()
+    assert row["record"] == want
+
+
+def test_undecodable_envelopes(spark):
+    good = '{"p":"1","content":{"a":"1"}}'
+    texts = [good, f"[{good},{good}]", f'[{good},{{"p":"1"}}]', f"[{good},7]", "x", "[]"]
+    lost = [r["value"] for r in decode.undecodable_content(messages(spark, *texts), "p").collect()]
+    assert sorted(lost) == sorted(texts[2:])
+    good = '{"content":{"type":1,"platformNum":2,"data":[{"a":1}]}}'
+    texts = [good, f"[{good}]", f'[{good},{{"content":{{"type":1}}}}]', "[", '{"content":{"type":1,"platformNum":2,"data":[{"a":1},null]}}']
+    lost = [r["value"] for r in decode.undecodable_batches(messages(spark, *texts)).collect()]
+    assert sorted(lost) == sorted(texts[2:])
+
+
+def test_starts_are_in_the_filter(spark):
+    rows = spark.createDataFrame([("t", p, o, "v") for p in (0, 1, 2) for o in range(4)], changes.MESSAGE_SCHEMA)
+    starts = spark.createDataFrame([("t", 0, 2), ("t", 1, None), ("u", 2, 9)], "k_topic string, k_partition int, k_offset long")
+    out = changes.from_positions(rows, starts)
+    assert sorted((r["partition"], r["offset"]) for r in out.collect()) == [(0, 2), (0, 3)] + [(p, o) for p in (1, 2) for o in range(4)]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()

@@ -137,3 +137,38 @@ def test_polling_reads_the_table_again_on_every_tick(spark):
 def test_batch_frames_give_all_windows(spark):
     df = spark.createDataFrame([(1, "0"), (2, "61000")], "id bigint, opttime string")
     assert tumble(with_event_time(df), "60 seconds", ["id"]).count() == 2
+
+
+def test_change_time_beats_arrival(spark):
+    """Offsets of two partitions do not say which change came first, the time of the change does."""
+    job = ChangeJoin(spark, work_path(spark, "times"), "deal", "trade", ["fstate"], [], buckets=2)
+    job.reset()
+    key = dict(zip(job.a_columns[:4], "1111"))
+
+    def change(state, time, offset, partition):
+        text = json.dumps([json.dumps({**key, "tableName": "deal", "optType": "UPDATE", "optTime": time, "fstate": state})])
+        return ("topic", partition, offset, text)
+
+    for number, messages in enumerate([[change("old", 1000, 900, 0), change("new", 2000, 5, 1)], [change("late", 1500, 901, 0)]]):
+        job.load_state(job.changes(batch(spark, *messages)), number)
+    assert [(r["fstate"], r["opttime"]) for r in job.a_state.read().collect()] == [("new", "2000")]
+
+
+def test_what_is_not_stored_is_set_aside(spark):
+    path = work_path(spark, "aside")
+    job = Plain(KeyedTable(spark, f"{path}/t", "k string, v string", ["k"], buckets=2), quarantine=f"{path}/quarantine")
+    df = batch(spark, message(1, {"tableName": "t", "id": "1", "v": "a"}), message(2, {"tableName": "other", "id": "2"}), ("topic", 0, 3, "broken"))
+    for _ in range(2):
+        run_batch(job, df, 0)
+        aside = sorted((r["reason"], json.loads(r["content"])["offset"]) for r in spark.read.parquet(job.quarantine).collect())
+        assert aside == [("rejected", 2), ("undecodable", 3)]
+
+
+def test_restart_with_a_new_checkpoint_keeps_rows(spark):
+    path = work_path(spark, "fresh")
+    target = KeyedTable(spark, f"{path}/t", "k string, v string", ["k"], buckets=2)
+    for n in (1, 2):
+        batch(spark, message(n, {"tableName": "t", "id": str(n), "v": "a"})).write.mode("append").json(f"{path}/in{n}")
+        query = run_job(Plain(target), read_changes(spark, path=f"{path}/in{n}"), f"{path}/checkpoint{n}", every=None)
+        query.awaitTermination()
+    assert values(target.read().orderBy("k")) == [("1", "a"), ("2", "a")]

@@ -157,14 +157,50 @@ def test_latest_with_a_hot_key(spark):
     assert all(k == v for k, v in got.items() if k != -1)
 
 
-def test_sequence_and_deep_pages(spark, monkeypatch):
+def test_sequence(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k")).repartition(7)
     numbered = {r["k"]: r["n"] for r in ordering.with_sequence(df, ["k"], "n").collect()}
     assert numbered == {k: k + 1 for k in range(5000)}
-    shallow = sorted(r["k"] for r in ordering.page(df, "k", "5$", 3, 40).collect())
-    monkeypatch.setattr(ordering, "TOP_N_BOUND", 10)
-    assert sorted(r["k"] for r in ordering.page(df, "k", "5$", 3, 40).collect()) == shallow
-    assert shallow == [10 * i + 5 for i in range(80, 120)]
+
+
+def test_pages_over_equal_keys_hold_every_row_once(spark):
+    df = spark.range(400).select((F.col("id") % 2).alias("k"), "id").repartition(7)
+    seen = [r["id"] for n in range(1, 12) for r in ordering.page(df, "k", ".", n, 40, ["id"]).collect()]
+    assert sorted(seen) == list(range(400))
+    assert [r["k"] for r in ordering.page(spark.range(5000).toDF("k"), "k", "5$", 3, 40, ["k"]).collect()] == [10 * i + 5 for i in range(80, 120)]
+    with pytest.raises(ValueError):
+        ordering.page(df, "k", ".", 1, 40)
+
+
+def test_a_new_stream_writes_after_the_old_one(spark, frame, table):
+    """Batch ids start again at 0 with a new checkpoint; a batch run again replaces itself."""
+    sc = spark.sparkContext
+    t = table()
+    try:
+        sc.setLocalProperty("sql.streaming.queryId", "one")
+        t.write_batch(frame("k a b", ("1", "x", "y")), 0)
+        t.write_batch(frame("k a b", ("1", "again", "y")), 0)
+        t.write_batch(frame("k a b", ("2", "x", "y")), 1)
+        t.compact()
+        sc.setLocalProperty("sql.streaming.queryId", "two")
+        t.write_batch(frame("k a b", ("2", "new", "y"), ("3", "x", "y")), 0)
+    finally:
+        sc.setLocalProperty("sql.streaming.queryId", None)
+    assert rows(t.read()) == [("1", "again", "y"), ("2", "new", "y"), ("3", "x", "y")]
+    t.write_batch(frame("k a b", ("4", "x", "y")), 0, feed="a")
+    t.write_batch(frame("k a b", ("5", "x", "y")), 0, feed="b")
+    assert t.read().count() == 5
+
+
+def test_maintain_removes_what_is_long_replaced(frame, table):
+    t = table()
+    for batch in range(9):
+        t.write_batch(frame("k a", (str(batch), "x")), batch)
+        t.maintain(most_changes=1)
+    assert t.read().count() == 9
+    assert len(t._batches("changes")) <= 5 and len(t._claims()) <= 5
+    t.write_batch(frame("k a", ("8", "again")), 8)
+    assert t.read().count() == 9
 
 
 def test_prefixes_of_several_lengths(frame):
@@ -216,10 +252,12 @@ def test_b_change_rule(frame):
     assert rows(filter_b_changes(b, state).select("ftrade_id", "opttime")) == [("new", "1"), ("t", "6")]
 
 
-def test_load_partitions():
-    assert stores.load_partitions(0) == 1
-    assert stores.load_partitions(100_000) == 3
-    assert stores.load_partitions(10**12) == 20_000
+def test_bulk_load_files_are_bounded(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+    stores.bulk_load(df, str(tmp_path / "wide"), ["k"], ["v"], rows_per_partition=50)
+    out = spark.read.parquet(str(tmp_path / "wide"))
+    assert out.count() == 500 and out.where("cast(v as int) < 500").count() == 0
+    assert max(r["count"] for r in out.groupBy(F.input_file_name()).count().collect()) <= 50
 
 
 def test_reset_drops_only_when_asked(spark, frame):
@@ -242,4 +280,6 @@ def test_expired_entries(spark, frame):
 def test_jdbc_statement_and_options():
     sql = jdbc.upsert_statement("t", "t_staging", ["k", "a"], ["k"])
     assert sql == "INSERT INTO t (k, a) SELECT k, a FROM t_staging ON DUPLICATE KEY UPDATE a = COALESCE(VALUES(a), t.a)"
+    sql = jdbc.upsert_statement("t", "s", ["k", "a"], ["k"], present=True)
+    assert sql.endswith("UPDATE a = CASE WHEN FIND_IN_SET('a', s._present) > 0 THEN VALUES(a) ELSE COALESCE(VALUES(a), t.a) END")
     assert jdbc.write_options("u", "t", {"user": "x"}, 500, 8) == {"url": "u", "dbtable": "t", "batchsize": "500", "user": "x", "numPartitions": "8"}
