@@ -33,13 +33,33 @@ def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
 
 
-@query()
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, html, unhex(sha1(html))::BIT::VARCHAR AS bits, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(substr(bits, i * 5 + 1, 5)::BIT AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM h"""
+
+
+@query(OP2_SQL)
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, folder = warc.archive(spark, table(spark, sf_dir, "pages"))
     return warc.read(index, folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query()
+OP3_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+again AS (SELECT doc_id, i FROM windows JOIN (SELECT k, min(doc_id) AS least FROM windows GROUP BY k) USING (k) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM again),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+@query(OP3_SQL)
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -82,7 +102,23 @@ def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query()
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s
+    FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, links.y FROM reached r JOIN links ON r.other = links.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)"""
+
+
+@query(OP8_SQL)
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))[1].select("doc_id", "n_shingles", "component_id")
 
