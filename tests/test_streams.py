@@ -1,12 +1,14 @@
 from conftest import values
 from pyspark.sql import functions as F
 
+from rillmark.operators.events import DEAL_KEY
+from rillmark.functions.labels import ORDER_EVENT_LABELS
 from rillmark.session import work_path
 from rillmark.sinks.keyed_table import KeyedTable
 from rillmark.sources.changes import MESSAGE_SCHEMA, read_changes
 from rillmark.sources.tables import poll_every
-from rillmark.streaming.change_join import ChangeJoin
-from rillmark.streaming.jobs import EntityJob, ledger_table, run_batch, run_job
+from rillmark.streaming.change_join import ChangeJoin, LabelledChangeJoin
+from rillmark.streaming.jobs import EntityJob, ledger_table, resume_options, run_batch, run_job
 from rillmark.streaming.windows import tumble, with_event_time
 
 import json
@@ -172,3 +174,37 @@ def test_restart_with_a_new_checkpoint_keeps_rows(spark):
         query = run_job(Plain(target), read_changes(spark, path=f"{path}/in{n}"), f"{path}/checkpoint{n}", every=None)
         query.awaitTermination()
     assert values(target.read().orderBy("k")) == [("1", "a"), ("2", "a")]
+
+
+def test_resume_from_the_ledger(spark):
+    ledger = ledger_table(spark, work_path(spark, "resume"))
+    assert resume_options(ledger, "plain", "topic") == {"startingOffsets": "earliest"}
+    target = KeyedTable(spark, work_path(spark, "resumed"), "k string, v string", ["k"], buckets=2)
+    rows = [message(n, {"tableName": "t", "id": str(n), "v": "a"}, partition=n % 2) for n in range(1, 6)]
+    run_batch(Plain(target), batch(spark, *rows), 0, ledger, F.lit("2024-01-01 00"))
+    assert resume_options(ledger, "plain", "topic") == {"startingOffsets": json.dumps({"topic": {"0": 4, "1": 5}})}
+
+
+def test_labelled_job(spark):
+    times = list(ORDER_EVENT_LABELS)
+    job = LabelledChangeJoin(spark, work_path(spark, "labelled"), "deal", "trade", ["fdeal_gen_time", *times], ["fitem_sku_id"], buckets=2, as_of="2020-02-01", loaded="x")
+    job.reset()
+
+    def change(offset, table, op, time, deal, **more):
+        text = {**dict.fromkeys(DEAL_KEY, "1"), "fdeal_id": deal, "tableName": table, "optType": op, "optTime": time, **more}
+        return ("topic", 0, offset, json.dumps([json.dumps(text)]))
+
+    def order(offset, op, time, deal, paid):
+        at = {t: "2019-12-01 08:00:00" for t in times}
+        return change(offset, "deal", op, time, deal, **{**at, "fdeal_gen_time": "2019-12-01 08:00:00", times[-1]: paid})
+
+    same, later = "2019-12-01 08:00:00", "2020-01-05 10:00:00"
+    first = [change(1, "trade", "INSERT", 10, "a", ftrade_id="t", fitem_sku_id="s"), order(2, "INSERT", 10, "a", same), order(3, "INSERT", 10, "lonely", same)]
+    second = [order(4, "UPDATE", 20, "a", later), change(5, "trade", "UPDATE", 5, "a", ftrade_id="t", fitem_sku_id="old"), change(6, "trade", "INSERT", 30, "lonely", ftrade_id="u", fitem_sku_id="s")]
+    for number, messages in enumerate((first, second)):
+        for _ in range(2):
+            job.run_batch(batch(spark, *messages), number)
+    events = sorted((r["fdeal_id"], r["k_fopt_time"], r["fopt_type"], r["fskuid"]) for r in job.events.read().collect())
+    labels = list(ORDER_EVENT_LABELS.values())
+    assert events == sorted([("a", same, x, "s") for x in set(labels)] + [("a", later, labels[-1], "s")])
+    assert [r["fdeal_id"] for r in job.unmatched.read().collect()] == ["lonely"]
