@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import registry
 from rillmark.operators.enrich import enrich_name
 from rillmark.operators.events import DEAL_KEY, join_changes, join_deal_trades
-from rillmark.operators.keyed import get_rows
+from rillmark.operators.keyed import get_rows, key_prefix_any
 from rillmark.operators.ordering import latest
 from rillmark.session import work_path
 from rillmark.sinks.keyed_table import KeyedTable
@@ -70,6 +70,15 @@ def test_hot_order_is_split(big):
     assert changes.count() == 60000
 
 
+def test_hot_prefix_is_split(big):
+    prefix = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 3000))
+    rows = big.range(0, 60000, 1, 8).select(F.concat_ws("_", prefix, F.col("id")).alias("rowkey"))
+    wanted = big.range(500).select(F.concat(F.lit("p"), F.col("id"), F.lit("_")).alias("prefix")).unionAll(big.createDataFrame([("hot_",), ("hot_1",), ("none",)], "prefix string"))
+    found = key_prefix_any(rows, wanted)
+    assert "SortMergeJoin(skew=true)" in plan(found)
+    assert found.count() == found.distinct().count() == rows.where("rowkey like 'hot_%' or cast(substring_index(substring(rowkey, 2), '_', 1) as int) < 500").count()
+
+
 def test_hot_code_in_a_large_dimension_is_split(big):
     dim = big.range(-1, 3000).select(F.lit("1").alias("k_ftenancy_id"), F.col("id").cast("string").alias("code"), F.lit("n").alias("name"))
     facts = big.range(0, 60000, 1, 8).select(F.lit("1").alias("k_ftenancy_id"), hot(3000).alias("c"), F.col("id").cast("string").alias("row"))
