@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordIds, gram_hashes, mixed, per_process, staged
+from .common import WORD, WordIds, gram_hashes, mixed, per_process, slices, staged
 
 SEED = 12
 LARGE = 256
@@ -50,7 +50,7 @@ def landmarks(ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.
 def seeds(docs: DataFrame, window: int) -> DataFrame:
     def run(batches):
         ids = per_process("word ids", WordIds)
-        for pdf in batches:
+        for pdf in slices(batches):
             found = [landmarks(ids.of(WORD.findall(x or "")), window) for x in pdf["text"]]
             counts = [len(f[0]) for f in found]
             yield pd.DataFrame({
@@ -74,22 +74,26 @@ def suffixes(docs: DataFrame, window: int) -> DataFrame:
                 hashes = ids.of(words)
                 wanted = {p["place"]: p["large"] for p in places}
                 whole = gram_hashes(hashes, window).view(np.int64) if any(wanted.values()) else None
+                long: dict[tuple[int, int], list[int]] = {}
                 for seed, place, first, last in zip(*landmarks(hashes, window)):
                     large = wanted.get(place)
                     if large is None:
                         continue
-                    seed = int(np.int64(seed.view(np.int64)))
+                    seed = int(seed.view(np.int64))
                     if large:
-                        out += [(seed, int(whole[s]), doc, key, int(s), None) for s in range(first, last + 1)]
+                        for s in range(first, last + 1):
+                            long.setdefault((seed, int(whole[s])), []).append(s)
                     else:
-                        out.append((seed, 0, doc, key, int(first), " ".join(words[first : last + window])))
+                        out.append((seed, 0, doc, key, [int(first)], " ".join(words[first : last + window])))
+                # A prefix that a document has at several places goes once.
+                out += [(seed, prefix, doc, key, starts, None) for (seed, prefix), starts in long.items()]
                 if len(out) >= BATCH:
                     yield pd.DataFrame(out, columns=names)
                     out = []
             yield pd.DataFrame(out, columns=names)
 
-    names = ["seed", "prefix", "doc", "key", "start", "words"]
-    return docs.mapInPandas(run, f"seed long, prefix long, doc {docs.schema['doc'].dataType.simpleString()}, key long, start int, words string")
+    names = ["seed", "prefix", "doc", "key", "starts", "words"]
+    return docs.mapInPandas(run, f"seed long, prefix long, doc {docs.schema['doc'].dataType.simpleString()}, key long, starts array<int>, words string")
 
 
 def pair_ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -136,7 +140,7 @@ def found_repeats(parts: DataFrame, window: int) -> DataFrame:
     def covered(key, starts):
         order = np.lexsort((starts, key))
         key, starts = key[order], starts[order]
-        cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(starts) != 1)) + 1
+        cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(starts) > window)) + 1
         first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]]) - 1
         return pd.DataFrame({"key": key[first], "from": starts[first], "to": starts[last] + window})
 
@@ -157,7 +161,8 @@ def found_repeats(parts: DataFrame, window: int) -> DataFrame:
                 large = (group.iloc[-1], least.iloc[-1])
                 again = (whole["doc"].reset_index(drop=True) != least).to_numpy()
                 if again.any():
-                    yield covered(whole["key"].to_numpy()[again], whole["start"].to_numpy(np.int64)[again])
+                    starts = whole["starts"].to_numpy()[again]
+                    yield covered(whole["key"].to_numpy()[again].repeat(list(map(len, starts))), np.concatenate(starts).astype(np.int64))
             pdf = pdf[pdf["words"].notna()]
             if not len(pdf):
                 continue
@@ -175,7 +180,8 @@ def found_repeats(parts: DataFrame, window: int) -> DataFrame:
     def tree(group):
         row, offset = repeats(group, window)
         if len(row):
-            yield covered(group["key"].to_numpy()[row], group["start"].to_numpy(np.int64)[row] + offset)
+            first = group["starts"].map(lambda x: x[0]).to_numpy(np.int64)
+            yield covered(group["key"].to_numpy()[row], first[row] + offset)
 
     dealt = parts.repartition("seed", "prefix").sortWithinPartitions("seed", "prefix", "doc")
     return dealt.mapInPandas(run, "key long, from long, to long")
@@ -186,12 +192,11 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     with a smaller id has too are left out, the others joined by one space."""
     rows = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc", "text"))
-    named = rows.where("doc is not null")
-    places = staged(seeds(named, window), "landmarks")
+    places = staged(seeds(rows.where("doc is not null"), window), "landmarks")
     shared = places.groupBy("seed").agg(F.min("doc").alias("x"), F.max("doc").alias("y"), F.count(F.lit(1)).alias("n")).where("x != y").select("seed", (F.col("n") > LARGE).alias("large"))
     wanted = places.join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("place", "large")).alias("places"))
-    # A row that is there twice needs to be looked at once.
-    texts = named.join(wanted, "key").select("doc", "key", "text", "places")
+    # The texts are dealt out by key here and once more below: one shuffle serves both.
+    texts = rows.join(wanted, "key").select("doc", "key", "text", "places")
     ranges = found_repeats(suffixes(texts, window), window).groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
 
     def cut(batches):
