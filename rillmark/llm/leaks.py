@@ -7,20 +7,22 @@ scores is the item's score in that text.
 
 Items are taken in blocks of a bounded number of n-grams, each of which every task holds; all texts are read for each block. Defined cases: null texts
 and texts without words hold nothing; items without words are in no text, items with fewer words than ``n`` are one shorter n-gram; of items that repeat an id each counts
-for itself and the best score is kept; every input row is searched by itself, so repeated rows and null ids give rows of their own; empty tables give no rows.
+for itself and, within a block, the best score is kept; every input row is searched by itself, so repeated rows and null ids give rows of their own; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, gram_hashes, per_process
+from .common import gram_hashes
 
 LETTERS = re.compile(r"[^\W_]+")
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
@@ -31,13 +33,21 @@ def words(text: str | None) -> list[str]:
 
 
 class Items:
-    """A block of items with their words, and where each n-gram stands in which item."""
+    """A block of items with the numbers of their words, and where each n-gram stands in which item.
+
+    All words that are in no item have one number, which no word of an item has.
+    """
+
+    OTHER = 3
 
     def __init__(self, rows: list[tuple], n: int):
-        ids = WordIds()
         self.n = n
         self.names = [i for i, _ in rows]
-        self.words = [ids.of(words(t)) for _, t in rows]
+        self.numbers: dict[str, int] = {}
+        for _, t in rows:
+            for w in words(t):
+                self.numbers.setdefault(w, len(self.numbers) + self.OTHER + 1)
+        self.words = [self.read(t) for _, t in rows]
         keys, items, places = [], [], []
         for k, w in enumerate(self.words):
             own = gram_hashes(w, min(n, len(w))) if len(w) else np.empty(0, np.uint64)
@@ -50,6 +60,10 @@ class Items:
         self.distinct = np.unique(self.keys)
         self.sizes = sorted({min(n, len(w)) for w in self.words if len(w)})
 
+    def read(self, text: str | None) -> np.ndarray:
+        number, other = self.numbers.get, self.OTHER
+        return np.array([number(w, other) for w in words(text)], np.uint64)
+
     def hits(self, ids: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a text, and keys, of its n-grams that are in a sorted array."""
         at, keys = [], []
@@ -68,11 +82,10 @@ def document_counts(texts: DataFrame, items: Items) -> dict[int, int]:
     """In how many texts each n-gram of the block is: at most as many numbers as the block has n-grams."""
 
     def run(batches):
-        ids = per_process("word ids", WordIds)
         counts = np.zeros(len(items.distinct), np.int64)
         for pdf in batches:
             for x in pdf["text"]:
-                _, keys = items.hits(ids.of(words(x)), items.distinct)
+                _, keys = items.hits(items.read(x), items.distinct)
                 counts[np.searchsorted(items.distinct, np.unique(keys))] += 1
         met = np.flatnonzero(counts)
         yield pd.DataFrame({"key": items.distinct[met].view(np.int64), "n": counts[met]})
@@ -160,7 +173,6 @@ def scores(items: Items, texts: list[np.ndarray], found: list[tuple[int, int, in
 
 def search(items: Items, seeds: np.ndarray, texts, least: float) -> list[list[tuple]]:
     """Per text the (item id, score, end) that it holds, the best of each item."""
-    ids = per_process("word ids", WordIds)
     out: list[list[tuple]] = [[] for _ in texts]
     hashes, found, waiting = [], [], 0
 
@@ -175,7 +187,7 @@ def search(items: Items, seeds: np.ndarray, texts, least: float) -> list[list[tu
             hashes[x] = None
 
     for x in texts:
-        own = ids.of(words(x))
+        own = items.read(x)
         parts = passages(items, own, seeds)
         found += [(len(hashes), *p) for p in parts]
         hashes.append(own if parts else None)
@@ -187,46 +199,53 @@ def search(items: Items, seeds: np.ndarray, texts, least: float) -> list[list[tu
     return out
 
 
-def blocks(benchmark: DataFrame, n: int, most: int) -> list[Items]:
+def blocks(benchmark: DataFrame, n: int, most: int) -> Iterator[Items]:
     """The items in blocks of about ``most`` words, fetched one after the other."""
-    rows = benchmark.select("item_id", "text").toLocalIterator()
-    out, block, size = [], [], 0
-    for r in rows:
+    block, size = [], 0
+    for r in benchmark.select("item_id", "text").toLocalIterator():
         block.append((r["item_id"], r["text"]))
         size += len(words(r["text"]))
         if size > most:
-            out.append(Items(block, n))
+            yield Items(block, n)
             block, size = [], 0
-    return [*out, Items(block, n)] if block else out
+    if block:
+        yield Items(block, n)
 
 
-def prepared(texts: DataFrame, benchmark: DataFrame, n: int, most: int, low: int, ratio: float) -> list[tuple[Items, np.ndarray]]:
-    return [(items, rare(items, document_counts(texts, items), low, ratio)) for items in blocks(benchmark, n, most)]
+def prepared(texts: DataFrame, benchmark: DataFrame, n: int, most: int, low: int, ratio: float) -> Iterator[tuple[Items, np.ndarray]]:
+    for items in blocks(benchmark, n, most):
+        yield items, rare(items, document_counts(texts, items), low, ratio)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", n: int = 3, least: float = 0.5, most: int = 1_000_000, low: int = 10, ratio: float = 5.0) -> DataFrame:
     """A row per input row and item that it holds: the id, ``item_id``, ``score`` (at least ``least``, at most 1) and the number of the text's last word of it."""
     rows = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
-    ready = prepared(rows.select("text"), benchmark, n, most, low, ratio)
+    kind, item = rows.schema["doc"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    out = f"doc {kind}, item_id {item}, score double, end_word long"
 
-    def run(batches):
-        for pdf in batches:
-            out = [(doc, *hit) for items, seeds in ready for doc, hits in zip(pdf["doc"], search(items, seeds, list(pdf["text"]), least)) for hit in hits]
-            yield pd.DataFrame(out, columns=["doc", "item_id", "score", "end_word"])
+    def one(items: Items, seeds: np.ndarray) -> DataFrame:
+        def run(batches):
+            for pdf in batches:
+                found = search(items, seeds, list(pdf["text"]), least)
+                yield pd.DataFrame([(doc, *hit) for doc, hits in zip(pdf["doc"], found) for hit in hits], columns=["doc", "item_id", "score", "end_word"])
 
-    kind, item = rows.schema["doc"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc {kind}, item_id {item}, score double, end_word long").withColumnRenamed("doc", id)
+        return rows.mapInPandas(run, out)
+
+    parts = [one(*block) for block in prepared(rows.select("text"), benchmark, n, most, low, ratio)]
+    found = reduce(DataFrame.unionAll, parts) if parts else rows.sparkSession.createDataFrame([], out)
+    return found.withColumnRenamed("doc", id)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 3, least: float = 0.5, most: int = 1_000_000, low: int = 10, ratio: float = 5.0) -> DataFrame:
     """The rows, with all their columns, that hold no item."""
-    ready = prepared(docs.select(F.col(text).alias("text")), benchmark, n, most, low, ratio)
+    def one(kept: DataFrame, items: Items, seeds: np.ndarray) -> DataFrame:
+        def run(batches):
+            for pdf in batches:
+                yield pdf[np.array([not x for x in search(items, seeds, list(pdf[text]), least)], bool)]
 
-    def run(batches):
-        for pdf in batches:
-            bad = np.zeros(len(pdf), bool)
-            for items, seeds in ready:
-                bad |= np.array([bool(x) for x in search(items, seeds, list(pdf[text]), least)], bool)
-            yield pdf[~bad]
+        return kept.mapInPandas(run, docs.schema)
 
-    return docs.mapInPandas(run, docs.schema)
+    kept = docs
+    for items, seeds in prepared(docs.select(F.col(text).alias("text")), benchmark, n, most, low, ratio):
+        kept = one(kept, items, seeds)
+    return kept
