@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import sys
 import types
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from rillmark.session import work_path
@@ -19,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """Smaller batches: what is made of the texts of a batch is held at once."""
+    for pdf in batches:
+        for at in range(0, len(pdf), rows):
+            yield pdf.iloc[at : at + rows]
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame below the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -28,9 +37,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def per_process(key, make):
-    """A value kept by a worker process from one task to the next; tasks may not rely on it being there."""
-    kept = sys.modules.setdefault("_rillmark_kept", types.ModuleType("_rillmark_kept")).__dict__
+    """A value kept by a worker process from one task to the next; tasks may not rely on it being there.
+
+    A worker keeps only the one it used last: what an earlier stage left must not add to the memory of the next.
+    """
+    kept = sys.modules.setdefault("_rillmark_kept", types.ModuleType("_rillmark_kept")).__dict__.setdefault("values", {})
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]
 
@@ -38,7 +51,7 @@ def per_process(key, make):
 class WordIds(dict):
     """64-bit hash of each word seen, kept while there are at most ``most`` of them (a cache: dropping it changes no value)."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 200_000):
         self.most = most
 
     def __missing__(self, word: str) -> int:

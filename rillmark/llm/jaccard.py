@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, WordIds, gram_hashes, mixed, per_process, staged
+from .common import WORD, WordIds, gram_hashes, mixed, per_process, slices, staged
 from .graph import components
 from .lm import CAPITALS
 
@@ -95,7 +95,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
     """Per row the id, the set's size, a 128-bit digest of it and its bitmap."""
 
     def run(batches):
-        for pdf in batches:
+        for pdf in slices(batches):
             sets = [token_set(x, n) for x in pdf["text"]]
             yield pd.DataFrame({"doc": pdf["doc"], "size": list(map(len, sets)), "sig": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "bits": [bitmap(s) for s in sets]})
 
@@ -110,16 +110,14 @@ def set_tokens(docs: DataFrame, n: int, length) -> DataFrame:
     """A row per token of the first ``length(size)`` of each set in hash order, with its place there."""
 
     def run(batches):
-        for pdf in batches:
+        for pdf in slices(batches):
             sets = [token_set(x, n) for x in pdf["text"]]
             sizes = np.array(list(map(len, sets)), np.int64)
             kept = length(sizes) * (sizes > 0)
-            for a in range(0, len(sets), 2000):
-                own = kept[a : a + 2000]
-                yield pd.DataFrame({
-                    "token": np.concatenate([s[:k] for s, k in zip(sets[a : a + 2000], own)]), "doc": pdf["doc"].iloc[a : a + 2000].repeat(own),
-                    "place": np.concatenate([np.arange(k) for k in own]).astype(np.int32), "size": sizes[a : a + 2000].repeat(own).astype(np.int32),
-                })
+            yield pd.DataFrame({
+                "token": np.concatenate([s[:k] for s, k in zip(sets, kept)]), "doc": pdf["doc"].repeat(kept),
+                "place": np.concatenate([np.arange(k) for k in kept]).astype(np.int32), "size": sizes.repeat(kept).astype(np.int32),
+            })
 
     return docs.mapInPandas(run, f"token long, doc {kind(docs)}, place int, size int")
 
@@ -182,7 +180,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     wanted = staged(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "paired-texts")
 
     def sets(batches):
-        for pdf in batches:
+        for pdf in slices(batches):
             yield pd.DataFrame({"doc": pdf["doc"], "tokens": [token_set(x, n).tobytes() for x in pdf["text"]]})
 
     kept = staged(docs.join(wanted, "doc", "left_semi").mapInPandas(sets, f"doc {kind(docs)}, tokens binary").dropDuplicates(["doc"]), "sets")

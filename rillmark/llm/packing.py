@@ -35,7 +35,7 @@ class Encoder:
     and words met again move back. A comma or full stop after a letter is a token of its own, and plain letters are lower-cased.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
