@@ -1,9 +1,9 @@
 """Passages of benchmark items in training texts: exact, edited or partly reworded copies.
 
-Words are runs of letters and digits in lower case. The n-grams of the items are looked up in all texts; how many texts have each tells which of an
-item's n-grams are rare, in comparison with its others, so that an item that leaked often keeps its seeds and a common phrase is none. Where a rare seed is met,
-the passage around it is aligned with the item (Smith-Waterman, word by word), and the share of the item's words that the best alignment
-scores is the item's score in that text.
+Words are runs of letters and digits in lower case. The n-grams of the items are looked up in all texts, and each is a seed, however many texts have it:
+an edited copy that stands in many texts makes the n-grams that the edits left as frequent as a common phrase. Where a seed is met, the passage
+around it is aligned with the item (Smith-Waterman, word by word) if it has enough of the item's words at all, and the share of the item's words that
+the best alignment scores is the item's score in that text. A copy that keeps no ``n`` words of an item in a row has no seed and is not found.
 
 Items are taken in blocks of a bounded number of n-grams, each of which every task holds; all texts are read for each block. Defined cases: null texts
 and texts without words hold nothing; items without words are in no text, items with fewer words than ``n`` are one shorter n-gram; of items that repeat an id each counts
@@ -64,9 +64,9 @@ class Items:
         number, other = self.numbers.get, self.OTHER
         return np.array([number(w, other) for w in words(text)], np.uint64)
 
-    def hits(self, ids: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a text, and keys, of its n-grams that are in a sorted array."""
-        at, keys = [], []
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a text, and keys, of its n-grams that an item has."""
+        at, keys, among = [], [], self.distinct
         for size in self.sizes:
             own = gram_hashes(ids, size)
             if len(own) and len(among):
@@ -78,36 +78,9 @@ class Items:
         return (np.concatenate(at), np.concatenate(keys)) if at else (np.empty(0, np.int64), np.empty(0, np.uint64))
 
 
-def document_counts(texts: DataFrame, items: Items) -> dict[int, int]:
-    """In how many texts each n-gram of the block is: at most as many numbers as the block has n-grams."""
-
-    def run(batches):
-        counts = np.zeros(len(items.distinct), np.int64)
-        for pdf in batches:
-            for x in pdf["text"]:
-                _, keys = items.hits(items.read(x), items.distinct)
-                counts[np.searchsorted(items.distinct, np.unique(keys))] += 1
-        met = np.flatnonzero(counts)
-        yield pd.DataFrame({"key": items.distinct[met].view(np.int64), "n": counts[met]})
-
-    rows = texts.mapInPandas(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
-    return {int(np.int64(r["key"]).view(np.uint64)): r["n"] for r in rows}
-
-
-def rare(items: Items, counts: dict[int, int], low: int, ratio: float) -> np.ndarray:
-    """Keys that are in no more texts than ``low``, or ``ratio`` times the median of their item's keys."""
-    times = np.array([counts.get(int(k), 0) for k in items.keys])
-    keep = np.zeros(len(times), bool)
-    for k in range(len(items.words)):
-        own = items.items == k
-        if own.any():
-            keep |= own & (times <= max(low, ratio * np.median(times[own])))
-    return np.unique(items.keys[keep])
-
-
-def passages(items: Items, ids: np.ndarray, seeds: np.ndarray) -> list[tuple[int, int, int]]:
+def passages(items: Items, ids: np.ndarray) -> list[tuple[int, int, int]]:
     """(item, from, to): stretches of a text around seeds of an item that may be parts of one copy."""
-    at, keys = items.hits(ids, seeds)
+    at, keys = items.hits(ids)
     by_item = defaultdict(list)
     for p, key in zip(at.tolist(), keys):
         a, b = np.searchsorted(items.keys, [key, key + np.uint64(1)]) if key != np.uint64(2**64 - 1) else (np.searchsorted(items.keys, key), len(items.keys))
@@ -150,6 +123,19 @@ def align(item: np.ndarray, lengths: np.ndarray, part: np.ndarray) -> tuple[np.n
     return best, end
 
 
+def groups(todo: list[tuple], most: int = 1_000_000) -> Iterator[list[tuple]]:
+    """At most 256 pairs that are aligned at once, and of long passages fewer: about ``most`` cells."""
+    group, width = [], 0
+    for x in todo:
+        width = max(width, len(x[4]))
+        if group and (len(group) == 256 or (len(group) + 1) * width > most):
+            yield group
+            group, width = [], len(x[4])
+        group.append(x)
+    if group:
+        yield group
+
+
 def scores(items: Items, texts: list[np.ndarray], found: list[tuple[int, int, int, int]], least: float) -> list[tuple[int, int, float, int]]:
     """(text, item, score, end) of the passages that reach ``least``; at least that share of an item's words must be in the passage at all."""
     todo = []
@@ -159,8 +145,7 @@ def scores(items: Items, texts: list[np.ndarray], found: list[tuple[int, int, in
             todo.append((text, item, a, own, part))
     todo.sort(key=lambda x: (len(x[3]), len(x[4])))
     out = []
-    for k in range(0, len(todo), 256):
-        group = todo[k : k + 256]
+    for group in groups(todo):
         item = np.zeros((len(group), max(len(x[3]) for x in group)), np.uint64)
         part = np.ones((len(group), max(len(x[4]) for x in group)), np.uint64)
         for r, x in enumerate(group):
@@ -171,7 +156,7 @@ def scores(items: Items, texts: list[np.ndarray], found: list[tuple[int, int, in
     return out
 
 
-def search(items: Items, seeds: np.ndarray, texts, least: float) -> list[list[tuple]]:
+def search(items: Items, texts, least: float) -> list[list[tuple]]:
     """Per text the (item id, score, end) that it holds, the best of each item."""
     out: list[list[tuple]] = [[] for _ in texts]
     hashes, found, waiting = [], [], 0
@@ -188,7 +173,7 @@ def search(items: Items, seeds: np.ndarray, texts, least: float) -> list[list[tu
 
     for x in texts:
         own = items.read(x)
-        parts = passages(items, own, seeds)
+        parts = passages(items, own)
         found += [(len(hashes), *p) for p in parts]
         hashes.append(own if parts else None)
         waiting += len(own) if parts else 0
@@ -212,40 +197,35 @@ def blocks(benchmark: DataFrame, n: int, most: int) -> Iterator[Items]:
         yield Items(block, n)
 
 
-def prepared(texts: DataFrame, benchmark: DataFrame, n: int, most: int, low: int, ratio: float) -> Iterator[tuple[Items, np.ndarray]]:
-    for items in blocks(benchmark, n, most):
-        yield items, rare(items, document_counts(texts, items), low, ratio)
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", n: int = 3, least: float = 0.5, most: int = 1_000_000, low: int = 10, ratio: float = 5.0) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", n: int = 3, least: float = 0.5, most: int = 1_000_000) -> DataFrame:
     """A row per input row and item that it holds: the id, ``item_id``, ``score`` (at least ``least``, at most 1) and the number of the text's last word of it."""
     rows = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
     kind, item = rows.schema["doc"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     out = f"doc {kind}, item_id {item}, score double, end_word long"
 
-    def one(items: Items, seeds: np.ndarray) -> DataFrame:
+    def one(items: Items) -> DataFrame:
         def run(batches):
             for pdf in batches:
-                found = search(items, seeds, list(pdf["text"]), least)
+                found = search(items, list(pdf["text"]), least)
                 yield pd.DataFrame([(doc, *hit) for doc, hits in zip(pdf["doc"], found) for hit in hits], columns=["doc", "item_id", "score", "end_word"])
 
         return rows.mapInPandas(run, out)
 
-    parts = [one(*block) for block in prepared(rows.select("text"), benchmark, n, most, low, ratio)]
+    parts = [one(items) for items in blocks(benchmark, n, most)]
     found = reduce(DataFrame.unionAll, parts) if parts else rows.sparkSession.createDataFrame([], out)
     return found.withColumnRenamed("doc", id)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 3, least: float = 0.5, most: int = 1_000_000, low: int = 10, ratio: float = 5.0) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 3, least: float = 0.5, most: int = 1_000_000) -> DataFrame:
     """The rows, with all their columns, that hold no item."""
-    def one(kept: DataFrame, items: Items, seeds: np.ndarray) -> DataFrame:
+    def one(kept: DataFrame, items: Items) -> DataFrame:
         def run(batches):
             for pdf in batches:
-                yield pdf[np.array([not x for x in search(items, seeds, list(pdf[text]), least)], bool)]
+                yield pdf[np.array([not x for x in search(items, list(pdf[text]), least)], bool)]
 
         return kept.mapInPandas(run, docs.schema)
 
     kept = docs
-    for items, seeds in prepared(docs.select(F.col(text).alias("text")), benchmark, n, most, low, ratio):
-        kept = one(kept, items, seeds)
+    for items in blocks(benchmark, n, most):
+        kept = one(kept, items)
     return kept

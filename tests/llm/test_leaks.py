@@ -91,3 +91,19 @@ def test_given_documents(spark):
                 assert (str(r["doc_id"]), k) in rows
         if not any(tuple(own[a : a + 5]) in runs for a in range(len(own) - 4)):
             assert not any(i == str(r["doc_id"]) for i, _ in rows)
+
+
+def test_an_edited_copy_in_many_texts(spark):
+    """The n-grams that the same edits leave in each copy are in 1,000 texts, the others in none."""
+    draw = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(k, " ".join(draw.sample(vocabulary, 32))) for k in range(3)] + [(3, "one two three four five")]
+    copies = [" ".join("new" if i % step == step - 1 else w for i, w in enumerate(items[k][1].split())) for k, step in ((0, 4), (1, 5), (3, 4))]
+    texts = []
+    for _ in range(1000):
+        varied = " ".join(draw.choice(vocabulary) if draw.random() < 0.2 else w for w in items[2][1].split())
+        texts.append(" ".join([*draw.choices(vocabulary, k=3), draw.choice([*copies, varied]), *draw.choices(vocabulary, k=3)]))
+    benchmark = spark.createDataFrame([(k, t, None, None) for k, t in items], ITEMS)
+    rows = got(leaks.find_leaks(documents(spark, texts).repartition(3), benchmark))
+    assert rows == brute(list(enumerate(texts)), items) and {r[1] for r in rows} == {0, 1, 2, 3}
+    assert leaks.clean(documents(spark, texts), benchmark).count() == 1000 - len({r[0] for r in rows})
