@@ -2,14 +2,14 @@
 
 A page is read into a tree of its block elements; text that stands directly in one of them, inline elements included, makes a block of text. Every node has
 features of its own (tag, words of its class, id and role, depth), of the text below it (amount, density, links, sentences) and of its siblings.
-Gradient-boosted trees give the odds that a node belongs to the article. They are learnt from a bounded sample of pages, whose nodes are
-labelled by what their tags and attributes say outright; to learn more than these names, the sampled pages are also rewritten: the same texts in other
+Gradient-boosted trees give the odds that a node belongs to the article. They are learnt from a bounded sample of different pages, whose nodes are
+labelled by what their tags and attributes say outright, or, if no page of the table does, from built-in pages; to learn more than these names, the sampled pages are also rewritten: the same texts in other
 layouts, with names dropped or changed, and with menus, notices, forms, side columns and comments made of the pages' own words. A choice for all nodes of
 a page is then made from the root down: a node can be in only if its parent is, and the choice with the greatest sum of log-odds is taken.
 
 Defined cases: a null or empty page, or one without an article, has an empty text; text outside of any element counts as a block of the root; unclosed
 and wrongly closed elements end where an enclosing one does; every row stands for itself, so repeated rows and null ids change nothing; an empty table
-gives no rows, and the trees are then learnt from nothing and never used; other columns play no part.
+gives no rows and no trees; other columns play no part.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(?=[a-zA-Z/])[^>]*\Z""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PARTS = re.compile(r"[a-z]+")
@@ -311,20 +313,67 @@ def told_labels(told: str) -> tuple[list[Node], np.ndarray]:
     return nodes, np.array([b.chars > 0 and b.chars >= 0.3 * n.chars for n, b in zip(nodes, bare)])
 
 
-def training_nodes(pages: DataFrame, html: str, most: int) -> DataFrame:
-    """Features and labels of the nodes of at most ``most`` pages, those with the least hashes, and of their rewritten forms."""
-    sample = pages.where(F.length(html) > 0).select(F.col(html).alias("html"), F.xxhash64(html).alias("h")).orderBy("h", "html").limit(most).select("html")
+LABELLED = r"(?i)<(article|main)"
+
+
+def least_hashes(pages: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` different pages (html, h), those with the least hashes; of a page that many rows repeat each task hands on one."""
+    least = F.broadcast(pages.select("h").distinct().orderBy("h").limit(most))
+
+    def firsts(batches):
+        seen = set()
+        for pdf in batches:
+            new = [x not in seen and not seen.add(x) for x in pdf["html"]]
+            yield pdf[np.array(new, bool)]
+
+    once = pages.join(least, "h", "left_semi").select("html", "h").mapInPandas(firsts, "html string, h long")
+    return once.dropDuplicates(["html"]).orderBy("h", "html").limit(most)
+
+
+def sampled(pages: DataFrame, html: str, most: int) -> DataFrame:
+    """At most ``most`` different pages whose tags say outright what their article is, wherever in the table they are."""
+    rows = pages.where(F.length(html) > 0).select(F.col(html).alias("html"), F.xxhash64(html).alias("h"))
+    rows = rows.where(F.col("html").rlike(LABELLED))
+
+    def labelled(batches):
+        for pdf in batches:
+            yield pdf[np.array([outright(parse(x)[0]) is not None for x in pdf["html"]], bool)]
+
+    found = staged(least_hashes(rows, most), "sample")
+    told = found.mapInPandas(labelled, "html string, h long")
+    if told.count() < found.count():
+        # Some of the elements are comments, cards or the like: look at all pages that have any.
+        told = staged(least_hashes(rows.mapInPandas(labelled, "html string, h long"), most), "sample")
+    return told.select("html")
+
+
+def built_in(pages: int = 150) -> list[str]:
+    """Labelled pages of invented text for tables in which no page is labelled: a menu, an article of a heading and some paragraphs, and a footer."""
+    words = "the of and to in a is that for it as was with be by on not river stone winter market letter garden engine harbour paper music road teacher island bread window history"
+    words, draw = words.split(), random.Random(5)
+
+    def text(a, b):
+        return " ".join(draw.choices(words, k=draw.randint(a, b))).capitalize()
+
+    out = []
+    for _ in range(pages):
+        menu = "".join(f"<li><a href='#'>{text(1, 2)}</a></li>" for _ in range(draw.randint(3, 9)))
+        parts = "".join("<p>" + " ".join(f"{text(5, 9)}, {draw.choice(words)} {draw.choice(words)}." for _ in range(draw.randint(1, 9))) + "</p>" for _ in range(draw.randint(1, 9)))
+        advert = f"<div class='ad'>{text(4, 15)}.</div>" if draw.random() < 0.5 else ""
+        out.append(f"<html><head><title>x</title></head><body><nav><ul>{menu}</ul></nav>{advert}<article><h1>{text(3, 9)}</h1>{parts}</article><footer>&copy; {text(3, 9)}.</footer></body></html>")
+    return out
+
+
+def training_nodes(sample: DataFrame) -> DataFrame:
+    """Features and labels of the nodes of labelled pages and of their rewritten forms."""
 
     def run(batches):
         for pdf in batches:
             rows, labels = [], []
             for page in pdf["html"]:
                 nodes, _ = parse(page)
-                own = outright(nodes)
-                if own is None:
-                    continue
                 rows.append(features(nodes))
-                labels.append(own)
+                labels.append(outright(nodes))
                 for _, told in rewritten(page, random.Random(page[:2000] + str(len(page)))):
                     nodes, own = told_labels(told)
                     rows.append(features(nodes))
@@ -373,14 +422,17 @@ class Trees:
 
 
 def learn(pages: DataFrame, html: str = "html", most: int = 300, trees: int = 15, depth: int = 4) -> Trees | None:
-    """Trees learnt from at most ``most`` pages; None where no page says outright what its article is."""
-    nodes = training_nodes(pages, html, most).withColumn("features", array_to_vector("features")).persist()
-    try:
-        if nodes.select("label").distinct().count() < 2:
-            return None
-        return Trees.of(GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32).fit(nodes))
-    finally:
-        nodes.unpersist()
+    """Trees learnt from at most ``most`` pages, or from the built-in ones where no page says outright what its article is; None without any page."""
+    if pages.where(F.length(html) > 0).isEmpty():
+        return None
+    spark = pages.sparkSession
+    for sample in (lambda: sampled(pages, html, most), lambda: spark.createDataFrame([(x,) for x in built_in()], "html string")):
+        nodes = training_nodes(sample()).withColumn("features", array_to_vector("features")).persist()
+        try:
+            if nodes.select("label").distinct().count() == 2:
+                return Trees.of(GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32).fit(nodes))
+        finally:
+            nodes.unpersist()
 
 
 def decode(nodes: list[Node], odds: np.ndarray) -> np.ndarray:

@@ -76,3 +76,38 @@ def test_no_node_is_chosen_without_its_parent():
         chosen = extract.decode(nodes, draw.normal(0, 3, len(nodes)))
         place = {id(n): k for k, n in enumerate(nodes)}
         assert all(chosen[place[id(n.parent)]] for n, c in zip(nodes, chosen) if c and n.parent)
+
+
+def placed(out, wanted, unwanted):
+    """Shares of the wanted and of the unwanted words that are in the texts."""
+    shares = [[len(set(w.split()) & set(t.split())) / len(set(w.split())) for t, w in zip(out, x)] for x in (wanted, unwanted)]
+    return tuple(float(np.mean(x)) for x in shares)
+
+
+def bare_layout(k):
+    """A page without article or main, its text and the words beside it."""
+    inside = [" ".join(f"in{k}x{p}y{i}" for i in range(40)) + "." for p in range(4)]
+    menu = " ".join(f"out{k}z{i}" for i in range(6))
+    page = "<html><body><div class='menu'><ul>" + "".join(f"<li><a href='#'>{w}</a></li>" for w in menu.split()) + "</ul></div>"
+    return page + "<div class='content'>" + "".join(f"<p>{x}</p>" for x in inside) + "</div></body></html>", " ".join(inside), menu
+
+
+def test_no_page_is_labelled(spark):
+    """Trees learnt from the built-in pages place the text."""
+    pages = [bare_layout(k) for k in range(20)]
+    rows = extract.main_text(spark.createDataFrame([(k, None, p[0], "t", k) for k, p in enumerate(pages)], PAGES)).orderBy("page_id").collect()
+    inside, outside = placed([r["text"] for r in rows], [p[1] for p in pages], [p[2] for p in pages])
+    assert inside > 0.9 and outside < 0.1
+
+
+def test_sample_is_of_different_labelled_pages(spark):
+    """Neither a page that fills the lowest hashes nor pages without labels, or with an element that is no article, take places of the sample."""
+    given = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").limit(10).collect()]
+    plain = [bare_layout(k)[0] for k in range(50)]
+    cards = [f"<body><article class='comment'><p>no {k}</p></article></body>" for k in range(30)]
+    pages = given * 3 + [given[0]] * 200 + plain * 5 + cards
+    df = spark.createDataFrame([(k, None, p, "t", k) for k, p in enumerate(pages)], PAGES).repartition(3)
+    texts = lambda x, most: [r["html"] for r in extract.sampled(x, "html", most).collect()]
+    assert sorted(texts(df, 10)) == sorted(given)
+    assert len(set(texts(df, 4))) == 4
+    assert texts(df.where("page_id < 0"), 10) == []
