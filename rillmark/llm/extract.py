@@ -7,7 +7,7 @@ labelled by what their tags and attributes say outright, or, if no page of the t
 layouts, with names dropped or changed, and with menus, notices, forms, side columns and comments made of the pages' own words. A choice for all nodes of
 a page is then made from the root down: a node can be in only if its parent is, and the choice with the greatest sum of log-odds is taken.
 
-Defined cases: a null or empty page, or one without an article, has an empty text; text outside of any element counts as a block of the root; unclosed
+Defined cases: a null or empty page, or one without an article, has an empty text; text and elements outside of any body stand in an implied one, what follows its end tag still in it; unclosed
 and wrongly closed elements end where an enclosing one does; every row stands for itself, so repeated rows and null ids change nothing; an empty table
 gives no rows and no trees; other columns play no part.
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -74,12 +75,21 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     link, linked = 0, 0
     at, page = 0, page or ""
 
+    def enter(name, names):
+        node = Node(name, names, open_nodes[-1])
+        open_nodes[-1].children.append(node)
+        open_nodes.append(node)
+        number[id(node)] = len(nodes)
+        nodes.append(node)
+
     def flush():
         nonlocal linked
         if pieces:
             text = SPACES.sub(" ", entities.unescape("".join(pieces))).strip()
             pieces.clear()
             if text:
+                if len(open_nodes) == 1:
+                    enter("body", ())
                 node = open_nodes[-1]
                 node.own += len(text)
                 node.chars += len(text)
@@ -130,11 +140,16 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if closing:
             for k in range(len(open_nodes) - 1, 0, -1):
+                if name in ("html", "body") and open_nodes[k].tag in ("html", "body"):
+                    close(k + 1)
+                    break
                 if open_nodes[k].tag == name:
                     close(k)
                     break
             continue
         flush()
+        if len(open_nodes) == 1 and name not in ("html", "body"):
+            enter("body", ())
         if name in CLOSES_P:
             for k in range(len(open_nodes) - 1, 0, -1):
                 if open_nodes[k].tag == "p":
@@ -150,16 +165,12 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
                     break
                 if open_nodes[k].tag in within:
                     break
-        if name in ("html", "body") and any(x.tag == name for x in open_nodes):
+        if name in ("html", "body") and any(x.tag in (name, "body") for x in open_nodes):
             continue
         names = ()
         if m.group(3):
             names = tuple(PARTS.findall(" ".join((a or b or c) for _, a, b, c in ATTRIBUTE.findall(m.group(3))).lower()))
-        node = Node(name, names, open_nodes[-1])
-        open_nodes[-1].children.append(node)
-        open_nodes.append(node)
-        number[id(node)] = len(nodes)
-        nodes.append(node)
+        enter(name, names)
     if at < len(page):
         pieces.append(page[at:])
     flush()
@@ -188,6 +199,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     out = np.zeros((len(nodes), FEATURES))
     total = max(1, nodes[0].chars)
     bad_above, good_above, seen = {}, {}, 0
+    same = {id(n): Counter(x.tag for x in n.children) for n in nodes}
     for i, n in enumerate(nodes):
         up = n.parent
         key = id(n)
@@ -198,7 +210,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         if up:
             siblings = len(up.children)
             around = up.chars - chars
-            alike = sum(x.tag == n.tag for x in up.children) if siblings < 200 else siblings
+            alike = same[id(up)][n.tag]
         else:
             siblings, around, alike = 1, 0, 1
         out[i, :25] = (
@@ -298,6 +310,14 @@ def rewritten(page: str, draw: random.Random) -> list[tuple[str, str]]:
         told = [f"<html><body>{'<div>' if wide else ''}", *(f"<!--out-->{x}<!--/out-->" for x in before), f"<{tag}{wrap}>"]
         told += [x if side == "in" else f"<!--out-->{x}<!--/out-->" for side, x in body] + [f"</{tag}>", *(f"<!--out-->{x}<!--/out-->" for x in after), "</body></html>"]
         out.append(("".join(page), "".join(told)))
+    # Without any element of its own: plain text, inline markup and line breaks, alone or with the rest of a page around it.
+    shown = inside[: draw.randint(1, len(inside))]
+    text = draw.choice(["\n", " <br> ", "<br><br>"]).join(draw.choice(["{}", "{}", "<b>{}</b>", "<span>{}</span>"]).format(quoted(t)) for t in shown)
+    if draw.random() < 0.4:
+        out.append((text, text))
+    else:
+        before, after = ([extra() for _ in range(draw.randint(0, n))] for n in (2, 2))
+        out.append((f"<html><body>{''.join(before)}{text}{''.join(after)}</body></html>", "<html><body>" + "".join(f"<!--out-->{x}<!--/out-->" for x in before) + text + "".join(f"<!--out-->{x}<!--/out-->" for x in after) + "</body></html>"))
     return out
 
 
@@ -471,7 +491,7 @@ def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
                 for nodes, blocks in parsed:
                     chosen = decode(nodes, odds[at : at + len(nodes)])
                     at += len(nodes)
-                    texts.append("\n\n".join(t for k, t in blocks if k and chosen[k]))
+                    texts.append("\n\n".join(t for k, t in blocks if chosen[k]))
             yield pdf[["id", "url"]].assign(text=texts)
 
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), F.col(html).alias("html"))

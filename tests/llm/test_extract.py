@@ -111,3 +111,23 @@ def test_sample_is_of_different_labelled_pages(spark):
     assert sorted(texts(df, 10)) == sorted(given)
     assert len(set(texts(df, 4))) == 4
     assert texts(df.where("page_id < 0"), 10) == []
+
+
+def test_text_outside_of_elements(spark, model):
+    """Text that stands in no element, in inline markup only, or after the end of the body is judged like other text."""
+    some = [f"Sentence {i} has words, such as river, stone and winter, and it goes on for a while until it ends." for i in range(12)]
+    plain = " ".join(some)
+    pages = ["plain text only", plain, "<br>".join(f"<b>{x}</b>" for x in some), f"<body><p>{plain}</p></body></html>{plain}", f"<title>t</title>{plain}<p>{plain}</p>"]
+    rows = extract.main_text(spark.createDataFrame([(k, None, p, "t", k) for k, p in enumerate(pages)], PAGES), model=model).collect()
+    assert {r["page_id"]: r["text"] for r in rows} == {0: "plain text only", 1: plain, 2: plain, 3: f"{plain}\n\n{plain}", 4: f"{plain}\n\n{plain}"}
+    assert not any(k == 0 for p in pages for k, _ in extract.parse(p)[1])
+    assert [n.tag for n in extract.parse("a<html><body>b</body></html>c<p>d")[0]] == ["root", "body", "p"]
+    nodes, blocks = extract.parse("<html><body><p>b</p></body></html>c<p>d")
+    assert [n.tag for n in nodes] == ["root", "html", "body", "p", "p"] and [k for k, _ in blocks] == [3, 2, 4]
+
+
+def test_siblings_count_alike_at_every_size():
+    for size in (150, 250):
+        nodes, _ = extract.parse("<body>" + "<p>a</p><div>b</div>" * size + "</body>")
+        alike = extract.features(nodes)[2:, 18]
+        assert len(alike) == 2 * size and np.allclose(alike, 0.5)
