@@ -1,11 +1,12 @@
 """Secrets found by fixed shapes and by reading assignments.
 
 The text is read as source or configuration: wherever an assignment sign stands, the name to its left and the literal to
-its right make a pair. Literals joined by ``+`` are folded, and a name on the right stands for the literal it was given
-before, so a literal is judged by every name it reaches. Its score adds how telling the name is and how random the literal.
+its right make a pair. Literals and names joined by ``+`` are folded, and a name on the right stands for the literal it was given
+before, so a literal is judged by every name it reaches; a name that was given none adds nothing to a sum. Its score adds how telling the name is and how random the literal.
 
 Defined cases: a null text counts as empty and has no spans; rows are independent of each other, so repeated rows and null
-ids give one result row each; other columns of the input are kept out of the result of ``find_secrets``.
+ids give one result row each; other columns of the input are kept out of the result of ``find_secrets``; a sum that would be longer than the text itself,
+as of a name added to itself over and over, is not followed.
 """
 
 from __future__ import annotations
@@ -33,9 +34,12 @@ NAMES = {
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|example.*|placeholder|your[_-].*|none|null|true|false|undefined|todo|test)$|^\$[({]|^<[^>]*>$|^%\(")
 
 SIGN = re.compile(r":=|=>|[=:]")
-NAME_BEFORE = re.compile(r"""(?:\[\x20*)?["']?([A-Za-z_][A-Za-z0-9_.\-]{0,99})["']?(?:\x20*\])?[\x20\t]*$""")
+NAME_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*")
 LITERAL = re.compile(r"""[\x20\t]*(?:[bBrRuUfF]{0,2}"((?:[^"\\\n]|\\.)*)"|[bBrRuUfF]{0,2}'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z0-9+/_.=~@!#$%^&*-]+))""")
 PLUS = re.compile(r"""[\x20\t]*\+[\x20\t]*(?=["'`])""")
+JOIN = re.compile(r"[\x20\t]*\+[\x20\t]*")
+OPERAND = re.compile(r"[\x20\t]*([A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_.(\[])")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*$")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -73,37 +77,92 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, KINDS[k]) for s, k, e in sorted(found)]
 
 
-def pairs(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]], bool]]:
-    """Names with the folded literal given to them, where its pieces stand, and whether it is quoted."""
+def name_before(text: str, end: int) -> str | None:
+    """The name that stands before an assignment sign, in quotes or brackets or not, however long it is and however far off."""
+
+    def back(at, signs):
+        while at and text[at - 1] in signs:
+            at -= 1
+        return at
+
+    at = back(end - text.endswith("\n", 0, end), " \t")
+    if text.endswith("]", 0, at):
+        at = back(at - 1, " ")
+    at -= text.endswith(('"', "'"), 0, at)
+    name = NAME.search(text, back(at, NAME_SIGNS), at)
+    return name.group() if name else None
+
+
+Known = dict[str, tuple[str, list[tuple[int, int]]]]
+
+
+def folded(text: str, at: int) -> tuple[str, list[tuple[int, int]], bool]:
+    """The literal at a place, with further quoted ones joined to it, where its pieces stand, and whether it is quoted."""
+    value, pieces, quoted = "", [], False
+    while m := LITERAL.match(text, at):
+        group = m.lastindex
+        if not m.group(group):
+            break
+        value += m.group(group)
+        pieces.append(m.span(group))
+        quoted = group < 4
+        more = PLUS.match(text, m.end()) if quoted else None
+        if not more:
+            break
+        at = more.end()
+    return value, pieces, quoted
+
+
+def summed(text: str, at: int, known: Known) -> tuple[str, list[tuple[int, int]]] | None:
+    """The literals of a sum in which names stand, those of known names included; None if there is no such sum."""
+    values, pieces, names, size = [], {}, 0, 0
+    while True:
+        m = LITERAL.match(text, at)
+        if m and m.lastindex < 4:
+            value, own, end = m.group(m.lastindex), [m.span(m.lastindex)] if m.group(m.lastindex) else [], m.end()
+        elif m := OPERAND.match(text, at):
+            (value, own), end = known.get(m.group(1), ("", [])), m.end()
+            names += 1
+        else:
+            break
+        size += len(value)
+        if size > len(text):
+            return None
+        values.append(value)
+        pieces.update(dict.fromkeys(own))
+        more = JOIN.match(text, end)
+        if not more:
+            break
+        at = more.end()
+    return ("".join(values), list(pieces)) if names and len(values) > 1 and pieces else None
+
+
+def pairs(text: str, known: Known) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
+    """Names with the literal given to them and where its pieces stand: the first one by itself, and then, if there are names in a sum, all of it.
+
+    ``known`` tells the literals of names; it is read where a name is met.
+    """
     for sign in SIGN.finditer(text):
-        left = NAME_BEFORE.search(text, max(0, sign.start() - 110), sign.start())
+        left = name_before(text, sign.start())
         if not left:
             continue
-        value, pieces, at, quoted = "", [], sign.end(), False
-        while m := LITERAL.match(text, at):
-            group = m.lastindex
-            if not m.group(group):
-                break
-            value += m.group(group)
-            pieces.append(m.span(group))
-            quoted = group < 4
-            more = PLUS.match(text, m.end()) if quoted else None
-            if not more:
-                break
-            at = more.end()
+        value, pieces, quoted = folded(text, sign.end())
+        whole = summed(text, sign.end(), known)
         if value:
-            yield left.group(1), value, pieces, quoted
+            if not quoted and IDENTIFIER.match(value) and value in known:
+                value, pieces = known[value]
+            yield left, value, pieces
+        if whole:
+            yield left, *whole
 
 
 def literal_spans(text: str, least: float) -> list[tuple[int, int, str]]:
     """Literals that reach a telling name, directly or through other names."""
     if "=" not in text and ":" not in text:
         return []
-    known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+    known: Known = {}
     found = set()
-    for name, value, pieces, quoted in pairs(text):
-        if not quoted and IDENTIFIER.match(value) and value in known:
-            value, pieces = known[value]
+    for name, value, pieces in pairs(text, known):
         known[name] = (value, pieces)
         if score(name, value) >= least:
             found.update(pieces)

@@ -55,3 +55,29 @@ def test_redact_keeps_rows_and_columns(spark):
     assert [texts[i] for i in range(len(ODD))] == ODD
     assert texts[len(ODD) + 3] == 'KEY = "[secret]"\nDB_PASSWORD = KEY\n'
     assert secrets.redact(df.limit(0)).count() == 0
+
+
+def spans(text, *wanted):
+    return [(text.index(x), text.index(x) + len(x), "literal") for x in wanted]
+
+
+def test_sums_of_names_and_literals():
+    """Every operand is a literal or a name; the pieces of known names and of literals are found together."""
+    for text, pieces in [
+        ('auth_token = PREFIX + "q8Zr2LmX71vTn0"\n', ["q8Zr2LmX71vTn0"]),
+        ('A = "q8Zr2L"\nclient_secret = "mX71vTn0" + A\n', ["q8Zr2L", "mX71vTn0"]),
+        ('A = "q8Zr2L"\nB = "mX71vTn0"\ndb_password = A+B\n', ["q8Zr2L", "mX71vTn0"]),
+        ('A = "q8Zr2L"\nB = A + "mX71" + other\ndb_password = B\n', ["q8Zr2L", "mX71"]),
+        ('colour = A + "q8Zr2LmX71vTn0"\n', []),
+    ]:
+        assert secrets.literal_spans(text, 4.5) == sorted(spans(text, *pieces))
+    doubled = 'a = "q8Zr2LmX71vTn0"\n' + "a = a + a\n" * 200 + "token = a\n"
+    assert secrets.literal_spans(doubled, 4.5) == spans(doubled, "q8Zr2LmX71vTn0")
+
+
+def test_names_of_any_length():
+    far = "api_token" + " " * 300 + '= "q8Zr2LmX71vTn0"'
+    assert secrets.literal_spans(far, 4.5) == spans(far, "q8Zr2LmX71vTn0")
+    tail = "n" * 120
+    text = f'x{tail} = "q8Zr2LmX71vTn0"\ny{tail} = "blue"\npassword = x{tail}\n'
+    assert spans(text, "q8Zr2LmX71vTn0")[0] in secrets.literal_spans(text, 4.5)
