@@ -32,7 +32,3 @@ def frame(spark):
         return spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], ", ".join(f"`{n}` string" for n in names.split()))
 
     return make
-
-
-def values(df):
-    return [tuple(r) for r in df.collect()]

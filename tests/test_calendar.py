@@ -1,7 +1,7 @@
 import datetime
 
 import pytest
-from conftest import values
+from rows import values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

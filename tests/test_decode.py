@@ -1,6 +1,6 @@
 import json
 
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from rillmark.operators import filters as flt

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from rillmark.functions.coerce import schema_of

@@ -1,4 +1,4 @@
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from rillmark.functions import person

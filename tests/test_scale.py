@@ -4,7 +4,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 import registry

@@ -1,5 +1,5 @@
 import pytest
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from rillmark.operators import keyed, ordering
