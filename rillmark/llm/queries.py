@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, extract, jaccard, leaks, lm, packing, quality, repeats, search, secrets, warc
+from . import chat, extract, jaccard, leaks, lm, packing, phrases, quality, repeats, search, secrets, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -133,6 +133,40 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS piece_id, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+words AS (SELECT lang, piece_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM numbered),
+runs AS (SELECT lang, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM words WINDOW o AS (PARTITION BY piece_id ORDER BY i)),
+grams AS (
+  SELECT lang, 1 AS k, w AS phrase FROM runs UNION ALL SELECT lang, 2, w || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL),
+counts AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.cut, p.f AS l, q.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.f) // (p.f + q.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts p ON p.lang = c.lang AND p.phrase = array_to_string(c.ws[1:c.cut], ' ')
+  JOIN counts q ON q.lang = c.lang AND q.phrase = array_to_string(c.ws[c.cut + 1:c.k], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM candidates, (VALUES (2), (3)) v(m) WHERE m < k) GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM lowest LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
+@query(OP12_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 OP13_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
