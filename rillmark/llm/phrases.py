@@ -34,7 +34,7 @@ BREAK = re.compile(r"[.,;:!?\x0A-\x0D]+")
 CAPITALS = re.compile("[A-Z]+")
 LONGEST = 4
 NOT_GIVEN = "und"
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 # N-gram occurrences of a partition, and how many times more counters than needed its summary has.
 PARTITION_MASS, SPARE = 8_000_000, 4
 # Bits for each n-gram that stayed, and at most in all.
@@ -53,6 +53,12 @@ class Words(dict):
         return value
 
 
+def hashed(names: list[str]) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in names), np.uint64, len(names))
+
+
 class Chunk:
     """Words of many texts one after the other, with the language of each place; pieces end where a word is 0."""
 
@@ -74,22 +80,19 @@ class Chunk:
         sizes = [len(p) for p in self.parts]
         self.at = np.concatenate(self.parts)
         self.lang = np.repeat(np.array(self.lang_of, np.int32), sizes)
-        self.parts = []
+        self.parts, self.hashed = [], None
         self.names = list(self.words)
         self.inside = {1: self.at > 0}
         for n in range(2, LONGEST + 1):
             shorter = self.inside[n - 1]
             self.inside[n] = shorter[:-1] & self.inside[1][n - 1 :]
 
-    def hashes(self) -> dict[int, np.ndarray]:
-        """For each length the hashes of the runs of words that start at each place, told apart by language."""
-        import xxhash
-
-        def of(names):
-            return np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in names), np.uint64, len(names))
-
-        word, lang = of(self.names)[self.at], of(list(self.langs))[self.lang]
-        return {n: mixed(gram_hashes(word, n) ^ lang[: max(0, len(word) - n + 1)]) for n in range(1, LONGEST + 1)}
+    def hashes(self, n: int) -> np.ndarray:
+        """Hashes of the runs of ``n`` words that start at each place, told apart by language."""
+        if self.hashed is None:
+            self.hashed = hashed(self.names)[self.at], hashed(list(self.langs))[self.lang]
+        word, lang = self.hashed
+        return mixed(gram_hashes(word, n) ^ lang[: max(0, len(word) - n + 1)])
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -173,15 +176,15 @@ def stayed(texts: DataFrame, lengths: tuple[int, ...], least: int, partitions: i
     def count(batches):
         known = Bitmap(shared.value) if shared is not None else None
         for chunk in chunks(batches):
-            hashes, take = chunk.hashes(), []
-            pair = known.has(hashes[2]) if known is not None else None
+            take = []
+            pair = known.has(chunk.hashes(2)) if known is not None else None
             for n in lengths:
                 inside = chunk.inside[n]
                 if known is not None:
                     inside = inside.copy()
                     for i in range(n - 1):
                         inside &= pair[i : i + len(inside)]
-                take.append(hashes[n][inside])
+                take.append(chunk.hashes(n)[inside])
             h, counts = np.unique(np.concatenate(take), return_counts=True)
             # Partitions are ranges of the upper half of the hash, so those of a chunk stand together.
             part = ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
@@ -229,11 +232,11 @@ def exact(texts: DataFrame, least: int, kept: bytes) -> DataFrame:
     def count(batches):
         known = Bitmap(shared.value)
         for chunk in chunks(batches):
-            hashes, langs, size = chunk.hashes(), list(chunk.langs), len(chunk.names)
+            langs, size = list(chunk.langs), len(chunk.names)
             out = {"lang": langs, "phrase": [None] * len(langs), "words": [0] * len(langs), "f": np.bincount(chunk.lang[chunk.inside[1]], minlength=len(langs)).tolist()}
             for n in range(1, LONGEST + 1):
                 place = np.flatnonzero(chunk.inside[n])
-                place = place[known.has(hashes[n][place])]
+                place = place[known.has(chunk.hashes(n)[place])]
                 # Equal keys are equal words: each step numbers what was met so far and adds one word.
                 key = chunk.lang[place].astype(np.int64)
                 for i in range(n):

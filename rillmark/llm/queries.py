@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, extract, jaccard, leaks, lm, packing, phrases, quality, repeats, search, secrets, warc
+from . import chat, extract, jaccard, leaks, lm, packing, phrases, pii, quality, repeats, search, secrets, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -133,6 +133,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@query()
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 OP12_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
