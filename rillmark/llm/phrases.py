@@ -8,7 +8,8 @@ each partition the n-grams they hold, counted, and a partition merges these summ
 part at a time, whatever its mass. Words and pairs are summarised first; runs of three and four words only where every pair in them stayed.
 
 A second pass over the texts counts what stayed, exactly and by its words, and drops what does not reach ``least``. Between passes what
-stayed is known as a bitmap of bounded size; a bit that is set by chance costs a count and changes no result.
+stayed is known as a bitmap of bounded size; a bit that is set by chance costs a count and changes no result. All passes read the texts as numbers of words,
+in chunks that were written once.
 
 A candidate of ``a`` occurrences is cut in two at each place; ``l`` and ``r`` are the occurrences of the parts, and the score is the least of
 floor(2000000 a / (l + r)). A candidate whose words stand within a longer candidate that occurs at least 80 % as often is left out.
@@ -19,38 +20,29 @@ often as they occur; an empty table gives no rows; all counts are exact, and pro
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import gram_hashes, mixed, staged
 
 # Where pieces end.
-BREAK = re.compile(r"[.,;:!?\x0A-\x0D]+")
-CAPITALS = re.compile("[A-Z]+")
+BREAK = "[.,;:!?\n-\r]"
 LONGEST = 4
 NOT_GIVEN = "und"
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 2_000_000
+CHUNKS = pa.schema([("lang", pa.string()), ("names", pa.string()), ("words", pa.binary())])
+# Bits of an n-gram's hash. N-grams that share one are counted together in summaries, never in the second pass.
+HASH_BITS = 48
 # N-gram occurrences of a partition, and how many times more counters than needed its summary has.
 PARTITION_MASS, SPARE = 8_000_000, 4
 # Bits for each n-gram that stayed, and at most in all.
 BITS_EACH, MOST_BITS = 16, 1 << 28
-GRAMS = "partition long, mass long, hashes binary, counts binary"
-
-
-class Words(dict):
-    """Numbers of words in the order in which they are first seen; 0 is the end of a piece, 1 nothing."""
-
-    def __init__(self):
-        super().__init__({"\n": 0, "": 1})
-
-    def __missing__(self, word: str) -> int:
-        value = self[word] = len(self)
-        return value
+GRAMS = "partition long, mass long, first long, steps binary, counts binary"
 
 
 def hashed(names: list[str]) -> np.ndarray:
@@ -60,55 +52,65 @@ def hashed(names: list[str]) -> np.ndarray:
 
 
 class Chunk:
-    """Words of many texts one after the other, with the language of each place; pieces end where a word is 0."""
-
-    def __init__(self):
-        self.words, self.langs = Words(), {}
-        self.parts, self.lang_of, self.size = [], [], 0
-
-    def add(self, lang: str | None, text: str | None) -> None:
-        text = text or ""
-        text = text.lower() if text.isascii() else CAPITALS.sub(lambda m: m.group().lower(), text)
-        split = BREAK.sub(" \n ", text.replace("\t", " ")).split(" ")
-        part = np.fromiter(map(self.words.__getitem__, split), np.int32, len(split))
-        part = np.append(part[part != 1], np.int32(0))
-        self.parts.append(part)
-        self.lang_of.append(self.langs.setdefault(NOT_GIVEN if lang is None else lang, len(self.langs)))
-        self.size += len(part)
-
-    def close(self) -> None:
-        sizes = [len(p) for p in self.parts]
-        self.at = np.concatenate(self.parts)
-        self.lang = np.repeat(np.array(self.lang_of, np.int32), sizes)
-        self.parts, self.hashed = [], None
-        self.names = list(self.words)
-        self.inside = {1: self.at > 0}
+    """Words of many texts of one language, one after the other; 0 stands where a piece ends, other numbers for ``names``."""
+
+    def __init__(self, lang: str, names: str, words: bytes):
+        self.lang, self.names, self.words = lang, ["", *names.split("\n")], np.frombuffer(words, np.int32)
+        self.hashes = mixed(hashed(self.names) ^ hashed([lang]))
+        self.inside = {1: self.words > 0}
         for n in range(2, LONGEST + 1):
-            shorter = self.inside[n - 1]
-            self.inside[n] = shorter[:-1] & self.inside[1][n - 1 :]
+            self.inside[n] = self.inside[n - 1][:-1] & self.inside[1][n - 1 :]
 
-    def hashes(self, n: int) -> np.ndarray:
-        """Hashes of the runs of ``n`` words that start at each place, told apart by language."""
-        if self.hashed is None:
-            self.hashed = hashed(self.names)[self.at], hashed(list(self.langs))[self.lang]
-        word, lang = self.hashed
-        return mixed(gram_hashes(word, n) ^ lang[: max(0, len(word) - n + 1)])
+    def grams(self, n: int) -> np.ndarray:
+        """Hashes of the runs of ``n`` words that start at each place."""
+        return gram_hashes(self.hashes[self.words], n) >> np.uint64(64 - HASH_BITS)
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    chunk = Chunk()
     for batch in batches:
-        for i in range(0, batch.num_rows, 500):
-            part = batch.slice(i, 500)
-            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                chunk.add(lang, text)
-                if chunk.size >= CHUNK_WORDS:
-                    chunk.close()
-                    yield chunk
-                    chunk = Chunk()
-    if chunk.size:
-        chunk.close()
-        yield chunk
+        for i in range(batch.num_rows):
+            yield Chunk(*(batch.column(c)[i].as_py() for c in range(3)))
+
+
+def split(texts: pa.Array) -> pa.Array:
+    """Words of texts one after the other, with a line end where a piece or a text ends; some words are empty."""
+    t = pc.replace_substring(pc.ascii_lower(texts), "\t", " ")
+    t = pc.binary_join_element_wise(pc.replace_substring_regex(t, BREAK, " \n "), "", " \n ")
+    return pc.split_pattern(t, " ").flatten()
+
+
+def numbered(lang: str, parts: list[pa.Array]) -> pa.RecordBatch | None:
+    """One row of the table of chunks."""
+    coded = pa.concat_arrays(parts).dictionary_encode()
+    names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    # Line ends become 0, empty words go, and the others are numbered from 1.
+    number = np.cumsum([x not in ("", "\n") for x in names]).astype(np.int32)
+    number[[i for i, x in enumerate(names) if x == "\n"]] = 0
+    number[[i for i, x in enumerate(names) if x == ""]] = -1
+    at = number[at]
+    return pa.RecordBatch.from_pydict({"lang": [lang], "names": ["\n".join(x for x in names if x not in ("", "\n"))], "words": [at[at >= 0].tobytes()]}, CHUNKS)
+
+
+def in_chunks(texts: DataFrame) -> DataFrame:
+    """All texts as chunks of about ``CHUNK_WORDS`` words of one language."""
+
+    def encode(batches):
+        waiting: dict[str, list[pa.Array]] = {}
+        size = 0
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                langs, text = pc.fill_null(part.column(0), NOT_GIVEN), pc.fill_null(part.column(1), "")
+                for lang in pc.unique(langs).to_pylist():
+                    words = split(text.filter(pc.equal(langs, lang)))
+                    waiting.setdefault(lang, []).append(words)
+                    size += len(words)
+                if size >= CHUNK_WORDS:
+                    yield from (numbered(*x) for x in waiting.items())
+                    waiting, size = {}, 0
+        yield from (numbered(*x) for x in waiting.items())
+
+    return staged(texts.mapInArrow(encode, "lang string, names string, words binary"), "phrases-chunks")
 
 
 class Bitmap:
@@ -120,7 +122,7 @@ class Bitmap:
 
     def has(self, h: np.ndarray) -> np.ndarray:
         found = np.ones(len(h), bool)
-        for at in (h & self.mask, (h >> np.uint64(36)) & self.mask):
+        for at in (h & self.mask, (h >> np.uint64(20)) & self.mask):
             found &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
         return found
 
@@ -128,7 +130,7 @@ class Bitmap:
 def bitmap(hashes: DataFrame) -> bytes:
     """Bitmap of a column ``hash``: a power of two of bits, no more than ``MOST_BITS``."""
     bits = min(MOST_BITS, 1 << max(15, (BITS_EACH * hashes.count()).bit_length()))
-    probes = F.array(F.col("hash"), F.shiftrightunsigned("hash", 36))
+    probes = F.array(F.col("hash"), F.shiftrightunsigned("hash", 20))
     # The numbering of Spark's bitmaps begins at 1.
     at = hashes.select(F.explode(probes).alias("h")).select((F.col("h").bitwiseAND(F.lit(bits - 1)) + 1).alias("at"))
     pages = at.groupBy(F.bitmap_bucket_number("at").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
@@ -138,6 +140,16 @@ def bitmap(hashes: DataFrame) -> bytes:
     return bytes(out)
 
 
+def narrow(x: np.ndarray, kind: type) -> bytes:
+    """Numbers in the bytes of a type if they all fit, else in eight bytes each; the first byte tells."""
+    small = not len(x) or x.max() <= np.iinfo(kind).max
+    return bytes([int(small)]) + x.astype(kind if small else np.uint64).tobytes()
+
+
+def wide(x: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(x, kind if x[0] else np.uint64, offset=1).astype(np.uint64)
+
+
 def summed(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes, sorted, with the sum of their counts."""
     order = np.argsort(h, kind="stable")
@@ -165,37 +177,37 @@ def capacity_of(mass: int, least: int) -> int:
     return SPARE * (mass // least + 1)
 
 
-def stayed(texts: DataFrame, lengths: tuple[int, ...], least: int, partitions: int, pairs: bytes | None = None) -> DataFrame:
+def stayed(encoded: DataFrame, lengths: tuple[int, ...], least: int, partitions: int, pairs: bytes | None = None) -> DataFrame:
     """Hashes of n-grams of some lengths that may occur ``least`` times: all of those that do, and some that come near.
 
     With ``pairs``, a bitmap of pairs, only n-grams whose pairs are all in it take part.
     """
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(pairs) if pairs is not None else None
+    shared = encoded.sparkSession.sparkContext.broadcast(pairs) if pairs is not None else None
 
     def count(batches):
         known = Bitmap(shared.value) if shared is not None else None
         for chunk in chunks(batches):
             take = []
-            pair = known.has(chunk.hashes(2)) if known is not None else None
+            pair = known.has(chunk.grams(2)) if known is not None else None
             for n in lengths:
                 inside = chunk.inside[n]
                 if known is not None:
                     inside = inside.copy()
                     for i in range(n - 1):
                         inside &= pair[i : i + len(inside)]
-                take.append(chunk.hashes(n)[inside])
+                take.append(chunk.grams(n)[inside])
             h, counts = np.unique(np.concatenate(take), return_counts=True)
-            # Partitions are ranges of the upper half of the hash, so those of a chunk stand together.
-            part = ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
+            # Partitions are ranges of hashes, so those of a chunk stand together.
+            part = ((h >> np.uint64(HASH_BITS - 32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
             starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
+            steps = np.diff(h, prepend=h[:1])
             ends = np.append(starts[1:], len(part))
             for i in range(0, len(starts), 10_000):
                 s, e = starts[i : i + 10_000], ends[i : i + 10_000]
                 yield pa.RecordBatch.from_pydict({
-                    "partition": pa.array(part[s]), "mass": pa.array([int(counts[a:b].sum()) for a, b in zip(s, e)], pa.int64()),
-                    "hashes": pa.array([h[a:b].tobytes() for a, b in zip(s, e)], pa.binary()),
-                    "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(s, e)], pa.binary()),
+                    "partition": pa.array(part[s]), "mass": pa.array([int(counts[a:b].sum()) for a, b in zip(s, e)], pa.int64()), "first": pa.array(h[s].view(np.int64)),
+                    "steps": pa.array([narrow(steps[a + 1 : b], np.uint32) for a, b in zip(s, e)], pa.binary()),
+                    "counts": pa.array([narrow(counts[a:b], np.uint8) for a, b in zip(s, e)], pa.binary()),
                 })
 
     def merge(batches):
@@ -207,49 +219,51 @@ def stayed(texts: DataFrame, lengths: tuple[int, ...], least: int, partitions: i
 
         for batch in batches:
             for row in range(batch.num_rows):
-                partition, mass, h, counts = (batch.column(c)[row].as_py() for c in range(4))
+                partition, mass, first, steps, counts = (batch.column(c)[row].as_py() for c in range(5))
                 if partition != at:
                     if summary is not None:
                         yield given()
                     at, summary = partition, Summary(capacity_of(mass, least))
                     lost = mass // (summary.capacity + 1)
-                summary.merge(np.frombuffer(h, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64))
+                steps, counts = wide(steps, np.uint32), wide(counts, np.uint8)
+                summary.merge(np.uint64(first) + np.cumsum(np.append(np.uint64(0), steps)), counts.astype(np.int64))
         if summary is not None:
             yield given()
 
-    grams = staged(texts.mapInArrow(count, GRAMS), "phrases-grams")
+    grams = staged(encoded.mapInArrow(count, GRAMS), "phrases-grams")
     mass = grams.groupBy("partition").agg(F.sum("mass").alias("whole"))
-    rows = grams.join(mass, "partition").select("partition", F.col("whole").alias("mass"), "hashes", "counts")
+    rows = grams.join(mass, "partition").select("partition", F.col("whole").alias("mass"), "first", "steps", "counts")
     # A partition's rows stand together in one task: the capacity holds for all of its mass.
     rows = rows.repartition(partitions, "partition").sortWithinPartitions("partition")
     return staged(rows.mapInArrow(merge, "hash long"), "phrases-stayed")
 
 
-def exact(texts: DataFrame, least: int, kept: bytes) -> DataFrame:
+def exact(encoded: DataFrame, least: int, kept: bytes) -> DataFrame:
     """``lang``, ``phrase``, ``words`` (how many) and ``f`` for all phrases and words that occur ``least`` times, and ``f`` of all words under a null phrase."""
-    shared = texts.sparkSession.sparkContext.broadcast(kept)
+    shared = encoded.sparkSession.sparkContext.broadcast(kept)
 
     def count(batches):
         known = Bitmap(shared.value)
         for chunk in chunks(batches):
-            langs, size = list(chunk.langs), len(chunk.names)
-            out = {"lang": langs, "phrase": [None] * len(langs), "words": [0] * len(langs), "f": np.bincount(chunk.lang[chunk.inside[1]], minlength=len(langs)).tolist()}
+            phrases, words, f = [None], [0], [int(chunk.inside[1].sum())]
             for n in range(1, LONGEST + 1):
                 place = np.flatnonzero(chunk.inside[n])
-                place = place[known.has(chunk.hashes(n)[place])]
+                place = place[known.has(chunk.grams(n)[place])]
                 # Equal keys are equal words: each step numbers what was met so far and adds one word.
-                key = chunk.lang[place].astype(np.int64)
-                for i in range(n):
-                    key = np.unique(key, return_inverse=True)[1] * size + chunk.at[place + i]
+                key = chunk.words[place].astype(np.int64)
+                for i in range(1, n):
+                    key = np.unique(key, return_inverse=True)[1] * len(chunk.names) + chunk.words[place + i]
                 _, first, counts = np.unique(key, return_index=True, return_counts=True)
                 place = place[first]
-                out["lang"] += [langs[x] for x in chunk.lang[place]]
-                out["phrase"] += [" ".join(x) for x in zip(*([chunk.names[w] for w in chunk.at[place + i]] for i in range(n)))]
-                out["words"] += [n] * len(place)
-                out["f"] += counts.tolist()
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())]))
-
-    counted = texts.mapInArrow(count, "lang string, phrase string, words int, f long")
+                phrases += [" ".join(x) for x in zip(*([chunk.names[w] for w in chunk.words[place + i]] for i in range(n)))]
+                words += [n] * len(place)
+                f += counts.tolist()
+            yield pa.RecordBatch.from_pydict(
+                {"lang": [chunk.lang] * len(f), "phrase": phrases, "words": words, "f": f},
+                pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())]),
+            )
+
+    counted = encoded.mapInArrow(count, "lang string, phrase string, words int, f long")
     return counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= least))
 
 
@@ -279,12 +293,13 @@ def within_longer(counts: DataFrame) -> DataFrame:
 def collocations(df: DataFrame, top: int = 2000, least: int = 30, lang: str = "lang", text: str = "text") -> DataFrame:
     """The ``top`` phrases of each language by score, then occurrences, then bytes: ``lang``, ``rank`` (from 1), ``phrase``, ``a``, ``l``, ``r``, ``n`` (words of the language), ``score``."""
     texts = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    # A third of a text's characters, at most, are words that begin a word and a pair.
-    characters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    partitions = max(1, -(-characters // 3 // PARTITION_MASS))
-    short = stayed(texts, (1, 2), least, partitions)
-    long = stayed(texts, (3, 4), least, partitions, bitmap(short))
-    counts = staged(exact(texts, least, bitmap(short.union(long))), "phrases-counts")
+    encoded = in_chunks(texts)
+    # Words and the pairs they begin.
+    mass = 2 * (encoded.agg(F.sum(F.length("words"))).first()[0] or 0) // 4
+    partitions = max(1, -(-mass // PARTITION_MASS))
+    short = stayed(encoded, (1, 2), least, partitions)
+    long = stayed(encoded, (3, 4), least, partitions, bitmap(short))
+    counts = staged(exact(encoded, least, bitmap(short.union(long))), "phrases-counts")
     total = counts.where("phrase is null").select("lang", F.col("f").alias("n"))
     found = scored(counts).join(within_longer(counts), ["lang", "phrase"], "left")
     found = found.where("longer is null or 100BD * cast(longer as decimal(20,0)) < 80BD * cast(a as decimal(20,0))")
