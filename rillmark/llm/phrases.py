@@ -4,8 +4,8 @@ A phrase of the corpus counts where its words stand next to each other within a
 phrases occur at least ``least`` times is found with Misra-Gries summaries. N-grams are dealt into partitions by hash; a partition's summary
 holds more counters than its mass (its n-gram occurrences) divided by ``least``, so no n-gram that frequent can fall out, and by
 the same bound what is left is judged: an n-gram stays if its counter and the most it can have lost reach ``least``. Chunks of texts send
-each partition the n-grams they hold, counted, and a partition merges these summaries one after the other; it holds one summary and one chunk's
-part at a time, whatever its mass. Words and pairs are summarised first; runs of three and four words only where every pair in them stayed.
+each partition the n-grams they hold, counted, and a partition merges these summaries as they come; it holds one summary and as much again that waits,
+whatever its mass. Words and pairs are summarised first; runs of three and four words only where every pair in them stayed.
 
 A second pass over the texts counts what stayed, exactly and by its words, and drops what does not reach ``least``. Between passes what
 stayed is known as a bitmap of bounded size; a bit that is set by chance costs a count and changes no result. All passes read the texts as numbers of words,
@@ -164,9 +164,19 @@ class Summary:
     def __init__(self, capacity: int):
         self.capacity = capacity
         self.h, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-
-    def merge(self, h: np.ndarray, counts: np.ndarray) -> None:
-        self.h, self.counts = summed(np.concatenate([self.h, h]), np.concatenate([self.counts, counts]))
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, h: np.ndarray, counts: np.ndarray) -> None:
+        """Take a chunk's part. Parts wait until they are as large as the summary: each is sorted in a bounded number of times."""
+        self.waiting.append((h, counts))
+        self.size += len(h)
+        if self.size > self.capacity:
+            self.merge()
+
+    def merge(self) -> None:
+        waiting, self.waiting, self.size = [(self.h, self.counts), *self.waiting], [], 0
+        self.h, self.counts = summed(*(np.concatenate(x) for x in zip(*waiting)))
         if len(self.h) > self.capacity:
             most = np.partition(self.counts, len(self.counts) - self.capacity - 1)[len(self.counts) - self.capacity - 1]
             stay = self.counts > most
@@ -214,6 +224,7 @@ def stayed(encoded: DataFrame, lengths: tuple[int, ...], least: int, partitions:
         summary, at, lost = None, None, 0
 
         def given():
+            summary.merge()
             close = summary.counts >= least - lost
             return pa.RecordBatch.from_pydict({"hash": pa.array(summary.h[close].view(np.int64))})
 
@@ -226,7 +237,7 @@ def stayed(encoded: DataFrame, lengths: tuple[int, ...], least: int, partitions:
                     at, summary = partition, Summary(capacity_of(mass, least))
                     lost = mass // (summary.capacity + 1)
                 steps, counts = wide(steps, np.uint32), wide(counts, np.uint8)
-                summary.merge(np.uint64(first) + np.cumsum(np.append(np.uint64(0), steps)), counts.astype(np.int64))
+                summary.add(np.uint64(first) + np.cumsum(np.append(np.uint64(0), steps)), counts.astype(np.int64))
         if summary is not None:
             yield given()
 
