@@ -34,7 +34,7 @@ from .common import gram_hashes, mixed, staged
 BREAK = "[.,;:!?\n-\r]"
 LONGEST = 4
 NOT_GIVEN = "und"
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 CHUNKS = pa.schema([("lang", pa.string()), ("names", pa.string()), ("words", pa.binary())])
 # Bits of an n-gram's hash. N-grams that share one are counted together in summaries, never in the second pass.
 HASH_BITS = 48
@@ -187,6 +187,21 @@ def capacity_of(mass: int, least: int) -> int:
     return SPARE * (mass // least + 1)
 
 
+def by_partition(h: np.ndarray, counts: np.ndarray, partitions: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``GRAMS`` for sorted hashes. Partitions are ranges of hashes, so those of one stand together."""
+    part = ((h >> np.uint64(HASH_BITS - 32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
+    steps = np.diff(h, prepend=h[:1])
+    ends = np.append(starts[1:], len(part))
+    for i in range(0, len(starts), 10_000):
+        s, e = starts[i : i + 10_000], ends[i : i + 10_000]
+        yield pa.RecordBatch.from_pydict({
+            "partition": pa.array(part[s]), "mass": pa.array([int(counts[a:b].sum()) for a, b in zip(s, e)], pa.int64()), "first": pa.array(h[s].view(np.int64)),
+            "steps": pa.array([narrow(steps[a + 1 : b], np.uint32) for a, b in zip(s, e)], pa.binary()),
+            "counts": pa.array([narrow(counts[a:b], np.uint8) for a, b in zip(s, e)], pa.binary()),
+        })
+
+
 def stayed(encoded: DataFrame, lengths: tuple[int, ...], least: int, partitions: int, pairs: bytes | None = None) -> DataFrame:
     """Hashes of n-grams of some lengths that may occur ``least`` times: all of those that do, and some that come near.
 
@@ -197,7 +212,6 @@ def stayed(encoded: DataFrame, lengths: tuple[int, ...], least: int, partitions:
     def count(batches):
         known = Bitmap(shared.value) if shared is not None else None
         for chunk in chunks(batches):
-            take = []
             pair = known.has(chunk.grams(2)) if known is not None else None
             for n in lengths:
                 inside = chunk.inside[n]
@@ -205,20 +219,7 @@ def stayed(encoded: DataFrame, lengths: tuple[int, ...], least: int, partitions:
                     inside = inside.copy()
                     for i in range(n - 1):
                         inside &= pair[i : i + len(inside)]
-                take.append(chunk.grams(n)[inside])
-            h, counts = np.unique(np.concatenate(take), return_counts=True)
-            # Partitions are ranges of hashes, so those of a chunk stand together.
-            part = ((h >> np.uint64(HASH_BITS - 32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
-            starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
-            steps = np.diff(h, prepend=h[:1])
-            ends = np.append(starts[1:], len(part))
-            for i in range(0, len(starts), 10_000):
-                s, e = starts[i : i + 10_000], ends[i : i + 10_000]
-                yield pa.RecordBatch.from_pydict({
-                    "partition": pa.array(part[s]), "mass": pa.array([int(counts[a:b].sum()) for a, b in zip(s, e)], pa.int64()), "first": pa.array(h[s].view(np.int64)),
-                    "steps": pa.array([narrow(steps[a + 1 : b], np.uint32) for a, b in zip(s, e)], pa.binary()),
-                    "counts": pa.array([narrow(counts[a:b], np.uint8) for a, b in zip(s, e)], pa.binary()),
-                })
+                yield from by_partition(*np.unique(chunk.grams(n)[inside], return_counts=True), partitions)
 
     def merge(batches):
         summary, at, lost = None, None, 0
