@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import _col
 
@@ -58,3 +59,65 @@ def window_function(
 
     parts = tagged.mapInPandas(pieces, f"window_start timestamp, {partial_schema}")
     return parts.groupBy("window_start").agg(*merge)
+
+
+def whole_window_function(
+    df: DataFrame, width: str, time: str, keys: Sequence[str], record_id: Sequence[str], inputs: Sequence[str],
+    function: Callable, schema: str,
+) -> DataFrame:
+    """User function over all elements of a window and key at once, on a stream; for what cannot be merged from parts.
+
+    ``function`` gets a pandas frame of the ``record_id``, ``inputs`` and ``time`` columns, in order of arrival, and
+    returns a frame of ``schema``. It is called once, when the watermark reaches the end of the window. A record that comes after that is
+    dropped, one that comes twice in its window counts once, and one that is late in an open window counts.
+
+    State holds the records of open windows, so the width of a window and the delay of the
+    watermark bound it; what has been given out is removed. A window's records of one key are in one task:
+    choose keys so that this fits, or ``window_function`` where parts can be merged.
+    """
+    # The close of its window is the event time of a record from here on: only that decides what is late.
+    names = list(dict.fromkeys([*record_id, *inputs, time]))
+    close = F.window_time(F.col("_w")).alias("_close")
+    plain = [F.timestamp_micros(F.unix_micros(time)).alias(time) if n == time else F.col(n) for n in names]
+    rows = df.select(F.window(time, width).alias("_w"), *keys, *plain).select(close, F.col("_w.start").alias("_start"), *keys, *names)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    state_type = T.StructType([T.StructField(n, T.ArrayType(T.LongType() if isinstance(kinds[n], T.TimestampType) else kinds[n])) for n in names])
+    out_type = T.StructType([T.StructField("window_start", T.TimestampType()), *[T.StructField(k, kinds[k]) for k in keys], *T.StructType.fromDDL(schema).fields])
+    times = [n for n in names if isinstance(kinds[n], T.TimestampType)]
+
+    def frame(columns):
+        import pandas as pd
+
+        out = pd.DataFrame(dict(zip(names, columns)))
+        for n in times:
+            out[n] = pd.to_datetime(out[n], unit="us")
+        return out
+
+    def each(key, frames, state):
+        import pandas as pd
+
+        if state.hasTimedOut:
+            elements = frame(state.get)
+            state.remove()
+            out = function(elements)
+            for i, value in enumerate(key[1:]):
+                out.insert(i, ["window_start", *keys][i], value)
+            yield out
+            return
+        columns = [list(c) for c in state.get] if state.exists else [[] for _ in names]
+        known = set(zip(*(columns[names.index(n)] for n in record_id)))
+        for part in frames:
+            part = part[names].copy()
+            for n in times:
+                part[n] = part[n].astype("datetime64[us]").astype("int64")
+            for row in part.astype(object).where(part.notna(), None).itertuples(index=False):
+                place = tuple(row[names.index(n)] for n in record_id)
+                if place not in known:
+                    known.add(place)
+                    for column, value in zip(columns, row):
+                        column.append(value)
+        state.update(tuple(columns))
+        # The close is a microsecond before the end; a window is given when the watermark reaches its end.
+        state.setTimeoutTimestamp(int(pd.Timestamp(key[0]).timestamp() * 1000))
+
+    return rows.groupBy("_close", "_start", *keys).applyInPandasWithState(each, out_type, state_type, "append", "EventTimeTimeout")
