@@ -28,11 +28,11 @@ def slices(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.Dat
             yield pdf.iloc[at : at + rows]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame below the shared folder and read it back: cuts lineage and survives lost executors."""
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back: cuts lineage and survives lost executors. ``options`` are the writer's."""
     spark = df.sparkSession
     path = work_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

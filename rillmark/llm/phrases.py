@@ -39,7 +39,7 @@ CHUNKS = pa.schema([("lang", pa.string()), ("names", pa.string()), ("words", pa.
 # Bits of an n-gram's hash. N-grams that share one are counted together in summaries, never in the second pass.
 HASH_BITS = 48
 # N-gram occurrences of a partition, and how many times more counters than needed its summary has.
-PARTITION_MASS, SPARE = 8_000_000, 4
+PARTITION_MASS, SPARE = 4_000_000, 4
 # Bits for each n-gram that stayed, and at most in all.
 BITS_EACH, MOST_BITS = 16, 1 << 28
 GRAMS = "partition long, mass long, first long, steps binary, counts binary"
@@ -110,7 +110,9 @@ def in_chunks(texts: DataFrame) -> DataFrame:
                     waiting, size = {}, 0
         yield from (numbered(*x) for x in waiting.items())
 
-    return staged(texts.mapInArrow(encode, "lang string, names string, words binary"), "phrases-chunks")
+    # Rows of megabytes: the writer has to look at the size of a page after each, not after a hundred.
+    one = {"parquet.page.size.row.check.min": "1"}
+    return staged(texts.mapInArrow(encode, "lang string, names string, words binary"), "phrases-chunks", **one)
 
 
 class Bitmap:
