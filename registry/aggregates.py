@@ -109,3 +109,12 @@ def limit_scan(spark, sf_dir):
 @query("select c_custkey, c_name from customer where regexp_matches(c_name, '[13579]$') order by c_name, c_custkey limit 20 offset 40")
 def page_scan(spark, sf_dir):
     return page(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", "[13579]$", 3, 20, ["c_custkey"])
+
+
+@query("""
+select o_orderkey, cast(o_orderdate as varchar) as o_orderdate from orders where regexp_matches(cast(o_orderdate as varchar), '-0[1-6]-')
+order by orders.o_orderdate, o_orderkey limit 50 offset 450
+""")
+def page_scan_deep(spark, sf_dir):
+    found = page(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "-0[1-6]-", 10, 50, ["o_orderkey"])
+    return found.withColumn("o_orderdate", text("o_orderdate"))

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
+from rillmark.operators import keyed
 from rillmark.operators.events import EVENT_KEY, event_key
 from rillmark.operators.filters import filter_account, filter_retention
 from rillmark.operators.offsets import LEDGER_KEY, ledger_rows
@@ -10,6 +13,7 @@ from rillmark.plans.customers import map_level, map_score
 from rillmark.session import work_path
 from rillmark.sinks import stores
 from rillmark.sinks.keyed_table import KeyedTable
+from rillmark.sinks.kv_cache import KeyValueCache
 from rillmark.streaming.change_join import EVENT_SCHEMA
 from rillmark.streaming.jobs import LEDGER_SCHEMA
 
@@ -178,3 +182,68 @@ def tbl_delete_keys(spark, sf_dir):
     target.compact()
     target.write_batch(customers.where("c_custkey % 8 = 0").withColumn("c_name", F.lit("back")), 2)
     return target.read()
+
+
+@query("""
+with entries as (
+  select *, day from (values (date '2019-01-01'), (date '2019-02-20'), (date '2019-03-21')) d(day), supplier
+  where day < date '2019-03-21' or s_suppkey % 4 = 0)
+select 'stored' as state, cast(s_suppkey as varchar) as key, s_name || ' ' || cast(day as varchar) as value from entries where day > date '2019-01-01'
+union all
+select 'live', cast(s_suppkey as varchar), s_name || ' ' || cast(day as varchar) from entries e
+where day = (select max(day) from entries x where x.s_suppkey = e.s_suppkey) and not (day = date '2019-03-21' and s_suppkey % 8 = 0)
+""")
+def snk_kv_cache_expiry(spark, sf_dir):
+    """Entries of three days, those of some keys short-lived; folders of past days are removed."""
+    cache = KeyValueCache(spark, work_path(spark, "expiring"))
+    suppliers = table(spark, sf_dir, "supplier")
+    for day in ("2019-01-01", "2019-02-20", "2019-03-21"):
+        rows = suppliers.where(F.lit(day < "2019-03-21") | (F.col("s_suppkey") % 4 == 0)).select(
+            text("s_suppkey").alias("code"), F.lit("1").alias("tenant"), F.concat_ws(" ", "s_name", F.lit(day)).alias("name"), F.col("s_suppkey").alias("id"))
+        at = F.lit(f"{day} 12:00:00").cast("timestamp")
+        short = F.lit(day == "2019-03-21") & (F.col("id") % 8 == 0)
+        for part, hours in ((rows.where(short), 12), (rows.where(~short), 30 * 24)):
+            cache.write(stores.kv_rows(part, "dim", "code", "name", "tenant", at, ttl=hours * 3600), at)
+    # What the short-lived entries had replaced would live still, and must not come back.
+    now = datetime.datetime(2019, 3, 22, 6)
+    cache.drop_expired(now)
+    stored = cache.stored().select(F.lit("stored").alias("state"), "key", "value")
+    return stored.unionByName(cache.read(now).select(F.lit("live").alias("state"), "key", "value"))
+
+
+@query("""
+with cells as (
+  select p_partkey as k, 'name' as family, 'p_brand' as "column", p_brand as value, p_partkey as ts from part
+  union all select p_partkey, 'name', 'p_name', p_name, p_partkey from part
+  union all select p_partkey, 'info', 'p_size', cast(p_size as varchar), p_partkey from part
+  union all select p_partkey, 'other', 'p_type', p_type, p_partkey from part
+  union all select p_partkey, 'name', 'p_brand', 'back', p_partkey + 2000000 from part where p_partkey % 6 = 0
+  union all select p_partkey, 'name', 'p_brand', 'too old', p_partkey - 1 from part where p_partkey % 9 = 0
+  union all select p_partkey, 'other', 'p_type', 'again', 5000000 from part where p_partkey % 5 = 0)
+select cast(k as varchar) as rowkey, family, "column", value, ts from cells
+where not (family = 'name' and k % 3 = 0 and ts <= k + 1000000) and not (family = 'other' and ts <= 4000000)
+  and not (k % 7 = 0 and ts <= k + 500000) and not (family = 'info' and k % 11 = 0)
+""")
+def tbl_delete_family(spark, sf_dir):
+    """Families, rows and columns are deleted, and some cells written again."""
+    path = work_path(spark, "cells")
+    part = table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey").cast("bigint"))
+
+    def put(rows, family, column, value, ts):
+        cells = rows.select(text("k").alias("rowkey"), F.lit(family).alias("family"), F.lit(column).alias("column"), value.cast("string").alias("value"), ts.cast("bigint").alias("ts"))
+        cells.withColumn("deleted", F.lit(None).cast("string")).write.mode("append").parquet(path)
+
+    def delete(rows, scope, ts, **named):
+        marks = rows.select(text("k").alias("rowkey"), "k", *[F.lit(v).alias(n) for n, v in named.items()])
+        keyed.deletion(marks, scope, ts).write.mode("append").parquet(path)
+
+    put(part.where("k % 6 = 0"), "name", "p_brand", F.lit("back"), F.col("k") + 2_000_000)
+    delete(part.where("k % 3 = 0"), keyed.FAMILY, F.col("k") + 1_000_000, family="name")
+    for column, family in (("p_brand", "name"), ("p_name", "name"), ("p_size", "info"), ("p_type", "other")):
+        put(part, family, column, F.col(column), F.col("k"))
+    delete(part, keyed.TABLE_FAMILY, F.lit(4_000_000), family="other")
+    delete(part.where("k % 7 = 0"), keyed.ROW, F.col("k") + 500_000)
+    delete(part.where("k % 11 = 0"), keyed.COLUMN, F.col("k"), family="info", column="p_size")
+    put(part.where("k % 9 = 0"), "name", "p_brand", F.lit("too old"), F.col("k") - 1)
+    put(part.where("k % 5 = 0"), "other", "p_type", F.lit("again"), F.lit(5_000_000))
+    return keyed.live_cells(spark.read.parquet(path))

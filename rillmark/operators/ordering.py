@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .ranges import SAMPLE_PER_RANGE, before, constants, cut, sample_places
+
+# Ranges that the rows of a table are counted in to find a page, and how many rows are sorted at last.
+PAGE_RANGES, PAGE_ROWS = 256, 100_000
 
 def _column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -88,10 +92,55 @@ def page(df: DataFrame, key: str, pattern: str, number: int, size: int, unique:
 
     ``unique`` are columns that, with the key, tell any two rows apart:
     without such an order rows with equal keys could be on two pages or none.
-    Every task keeps the rows up to the end of the page.
+
+    The order is cut into ranges where a sample says, the rows of each range are counted, and the running total of the
+    counts tells which ranges hold the page. These are cut again until
+    they hold few rows; only they are sorted. No task holds what precedes the page, however deep it is.
     """
     if not unique:
         raise ValueError("name the columns that make the order unique, the key itself if it is")
-    rows = df.where(F.col(key).cast("string").rlike(pattern))
     order = list(dict.fromkeys([key, *unique]))
-    return rows.orderBy(*order).offset((number - 1) * size).limit(size)
+    found, skip = _around(df.where(F.col(key).cast("string").rlike(pattern)), order, (number - 1) * size, size)
+    return found.orderBy(*order).offset(skip).limit(size)
+
+
+def _around(rows: DataFrame, order: Sequence[str], skip: int, size: int) -> tuple[DataFrame, int]:
+    """The ranges that hold ``size`` rows after the first ``skip``, and how many of their rows come before these."""
+    found = rows
+    # More rows than that are not sorted to find a page; a page itself may be larger.
+    most = max(2 * size, PAGE_ROWS)
+    while len(sample := sample_places(found, order, PAGE_RANGES)) == PAGE_RANGES * SAMPLE_PER_RANGE:
+        cuts = list(dict.fromkeys(cut(sample)))
+        inside, counts = _count_ranges(found, order, cuts)
+        first, skip = _range_of(counts, skip)
+        if first is None:
+            return rows.limit(0), 0
+        last, _ = _range_of(counts[first:], skip + size - 1)
+        last = len(counts) - 1 if last is None else first + last
+        held = sum(counts[first : last + 1])
+        narrower = inside.where(F.col("_range").between(first, last))
+        # Bounds on the key alone reach the scan.
+        lo, hi = (cuts[first - 1][0] if first else None), (cuts[last][0] if last < len(cuts) else None)
+        bounds = [F.col(order[0]) >= lo] * (lo is not None) + [F.col(order[0]) <= hi] * (hi is not None)
+        found = reduce(DataFrame.where, bounds, narrower).select(*rows.columns)
+        if held <= most or held == sum(counts):
+            break
+    return found, skip
+
+
+def _count_ranges(df: DataFrame, order: Sequence[str], cuts: list[tuple]) -> tuple[DataFrame, list[int]]:
+    """The rows with the number of their range (``_range``), and how many each range has."""
+    at = constants(df, order, cuts)
+    place = F.struct(*order)
+    inside = df.withColumn("_range", before(at, len(cuts), lambda c: c <= place))
+    counted = dict(inside.groupBy("_range").count().collect())
+    return inside, [counted.get(i, 0) for i in range(len(cuts) + 1)]
+
+
+def _range_of(counts: list[int], skip: int) -> tuple[int | None, int]:
+    """The range that holds the row after ``skip`` rows, and how many of these are in it; None beyond the last row."""
+    for i, n in enumerate(counts):
+        if skip < n:
+            return i, skip
+        skip -= n
+    return None, skip

@@ -11,6 +11,7 @@ import registry
 from rillmark.operators.enrich import enrich_name
 from rillmark.operators.events import DEAL_KEY, join_changes, join_deal_trades
 from rillmark.operators.keyed import get_rows, key_prefix_any
+from rillmark.operators import ordering
 from rillmark.operators.ordering import latest
 from rillmark.session import work_path
 from rillmark.sinks.keyed_table import KeyedTable
@@ -75,8 +76,51 @@ def test_hot_prefix_is_split(big):
     rows = big.range(0, 60000, 1, 8).select(F.concat_ws("_", prefix, F.col("id")).alias("rowkey"))
     wanted = big.range(500).select(F.concat(F.lit("p"), F.col("id"), F.lit("_")).alias("prefix")).unionAll(big.createDataFrame([("hot_",), ("hot_1",), ("none",)], "prefix string"))
     found = key_prefix_any(rows, wanted)
-    assert "SortMergeJoin(skew=true)" in plan(found)
+    assert plan(found).split("Initial Plan")[0].count("Exchange hashpartitioning(_range") == 1
     assert found.count() == found.distinct().count() == rows.where("rowkey like 'hot_%' or cast(substring_index(substring(rowkey, 2), '_', 1) as int) < 500").count()
+    assert largest_part(found) < 20000 / 2
+
+
+def largest_part(df):
+    """Most rows of a partition, as they are dealt out."""
+    df.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return _largest_part(df)
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _largest_part(df):
+    return df.groupBy(F.spark_partition_id().alias("part")).count().agg(F.max("count")).first()[0]
+
+
+def test_prefixes_of_all_lengths_in_one_shuffle(big):
+    rows = big.range(0, 30000, 1, 8).select(F.when(F.col("id") % 3 == 0, "same").otherwise(F.format_string("%05d", F.col("id"))).alias("rowkey"), F.col("id").alias("v"))
+    asked = ["sam", "same", "same key", "1", "12", "123", "02", "0234", "29999", "299999", "zz", "", None]
+    found = key_prefix_any(rows, big.createDataFrame([(p,) for p in asked], "prefix string"))
+    text = plan(found).split("Initial Plan")[0]
+    assert text.count("Exchange hashpartitioning(_range") == 1
+    good = [p for p in asked if p]
+    want = sorted((r["rowkey"], r["v"]) for r in rows.collect() if any(r["rowkey"].startswith(p) for p in good))
+    assert sorted(values(found)) == want
+    # The rows of one key are spread.
+    assert largest_part(found.where("rowkey = 'same'")) < 10000 / 2
+    assert key_prefix_any(rows.limit(0), big.createDataFrame([("a",)], "prefix string")).count() == 0
+    assert key_prefix_any(rows, big.createDataFrame([], "prefix string")).count() == 0
+
+
+def test_a_deep_page_sorts_few_rows(big, monkeypatch):
+    monkeypatch.setattr(ordering, "PAGE_ROWS", 500)
+    df = big.range(0, 60000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") * 7919 % 60000).alias("k"), F.col("id").alias("n"))
+    found = ordering.page(df, "k", ".", 1000, 40, ["n"])
+    order = sorted(values(df))
+    assert sorted(values(found)) == order[999 * 40 : 1000 * 40]
+    # What is sorted is a small part, though a third of the rows have one key.
+    for n in (100, 1000):
+        sorted_rows, skip = ordering._around(df, ["k", "n"], n * 40, 40)
+        assert sorted_rows.count() <= 500 and skip < 500
+    limits = [values(ordering.page(df, "k", ".", n, 40, ["n"])) for n in (1, 2, 499, 501, 1500, 1501)]
+    assert [sorted(x) for x in limits] == [order[(n - 1) * 40 : n * 40] for n in (1, 2, 499, 501, 1500, 1501)]
 
 
 def test_hot_code_in_a_large_dimension_is_split(big):
