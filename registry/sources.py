@@ -6,7 +6,7 @@ from rillmark.functions.calendar import epoch_ms
 from rillmark.operators.offsets import latest_offsets
 from rillmark.session import work_path
 from rillmark.sinks.stores import archive
-from rillmark.sources.changes import filter_since, from_positions, read_changes, read_topic, replay_start
+from rillmark.sources.changes import filter_since, from_positions, read_changes, read_topic, replay_start, without_redelivery
 from rillmark.sources.decode import decode_changes
 from rillmark.sources.tables import poll_snapshot, scan_keyed, scan_table
 
@@ -94,3 +94,20 @@ def src_warehouse_scan(spark, sf_dir):
 @query("select p_partkey, p_name, p_retailprice from part where p_type = 'ECONOMY' and p_size = 11")
 def src_keyed_scan(spark, sf_dir):
     return scan_keyed(table(spark, sf_dir, "part"), {"p_type": "ECONOMY", "p_size": "11"}, ["p_partkey", "p_name", "p_retailprice"])
+
+
+@query("""select event_type as topic, cast(user_id % 3 as int) as "partition", event_id as "offset", cast(user_id as varchar) as value from events""")
+def src_redelivery(spark, sf_dir):
+    """All messages come in a first batch and every second one again in the next."""
+    path = work_path(spark, "redelivered")
+    messages = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+        F.col("user_id").cast("string").alias("value"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"))
+    for rows in (messages, messages.where("event_id % 2 = 0")):
+        rows.coalesce(1).write.mode("append").json(path)
+    stream = read_changes(spark, path=path, timestamps=True, options={"maxFilesPerTrigger": "1"})
+    # The second delivery comes after all of the first: the delay has to cover the whole topic here.
+    found = without_redelivery(stream, "366 days").drop("timestamp")
+    out = work_path(spark, "once")
+    found.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(found.schema).parquet(out)
