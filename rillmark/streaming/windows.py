@@ -74,16 +74,21 @@ def whole_window_function(
     State holds the records of open windows, so the width of a window and the delay of the
     watermark bound it; what has been given out is removed. A window's records of one key are in one task:
     choose keys so that this fits, or ``window_function`` where parts can be merged.
+    Whole numbers come as pandas' nullable integers, so large ones stay exact beside a NULL.
     """
     # The close of its window is the event time of a record from here on: only that decides what is late.
     names = list(dict.fromkeys([*record_id, *inputs, time]))
     close = F.window_time(F.col("_w")).alias("_close")
-    plain = [F.timestamp_micros(F.unix_micros(time)).alias(time) if n == time else F.col(n) for n in names]
-    rows = df.select(F.window(time, width).alias("_w"), *keys, *plain).select(close, F.col("_w.start").alias("_start"), *keys, *names)
-    kinds = {f.name: f.dataType for f in rows.schema.fields}
-    state_type = T.StructType([T.StructField(n, T.ArrayType(T.LongType() if isinstance(kinds[n], T.TimestampType) else kinds[n])) for n in names])
-    out_type = T.StructType([T.StructField("window_start", T.TimestampType()), *[T.StructField(k, kinds[k]) for k in keys], *T.StructType.fromDDL(schema).fields])
-    times = [n for n in names if isinstance(kinds[n], T.TimestampType)]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    whole = [n for n in {*names, *keys} if isinstance(kinds[n], T.IntegralType)]
+    # Whole numbers travel as text: pandas would make floats of those beside a NULL.
+    plain = [F.timestamp_micros(F.unix_micros(n)).alias(n) if n == time else F.col(n).cast("string").alias(n) if n in whole else F.col(n) for n in dict.fromkeys([*keys, *names])]
+    rows = df.select(F.window(time, width).alias("_w"), *plain).select(close, F.col("_w.start").alias("_start"), *dict.fromkeys([*keys, *names]))
+    sent = {f.name: f.dataType for f in rows.schema.fields}
+    state_type = T.StructType([T.StructField(n, T.ArrayType(T.LongType() if isinstance(sent[n], T.TimestampType) else sent[n])) for n in names])
+    out_type = T.StructType([T.StructField("window_start", T.TimestampType()), *[T.StructField(k, sent[k]) for k in keys], *T.StructType.fromDDL(schema).fields])
+    times = [n for n in names if isinstance(sent[n], T.TimestampType)]
+    numbers = [n for n in names if n in whole]
 
     def frame(columns):
         import pandas as pd
@@ -91,6 +96,8 @@ def whole_window_function(
         out = pd.DataFrame(dict(zip(names, columns)))
         for n in times:
             out[n] = pd.to_datetime(out[n], unit="us")
+        for n in numbers:
+            out[n] = pd.array([None if x is None else int(x) for x in out[n]], "Int64")
         return out
 
     def each(key, frames, state):
@@ -120,4 +127,5 @@ def whole_window_function(
         # The close is a microsecond before the end; a window is given when the watermark reaches its end.
         state.setTimeoutTimestamp(int(pd.Timestamp(key[0]).timestamp() * 1000))
 
-    return rows.groupBy("_close", "_start", *keys).applyInPandasWithState(each, out_type, state_type, "append", "EventTimeTimeout")
+    found = rows.groupBy("_close", "_start", *keys).applyInPandasWithState(each, out_type, state_type, "append", "EventTimeTimeout")
+    return found.select("window_start", *[F.col(k).cast(kinds[k]).alias(k) for k in keys], *T.StructType.fromDDL(schema).names)

@@ -8,7 +8,7 @@ from rillmark.sinks.keyed_table import KeyedTable
 from rillmark.sources.changes import MESSAGE_SCHEMA, read_changes
 from rillmark.sources.tables import poll_every
 from rillmark.streaming.change_join import ChangeJoin, LabelledChangeJoin
-from rillmark.streaming.jobs import EntityJob, ledger_table, resume_options, run_batch, run_job
+from rillmark.streaming.jobs import EntityJob, ledger_table, resume_options, resumed, run_batch, run_job
 from rillmark.streaming.windows import tumble, with_event_time
 
 import json
@@ -183,6 +183,13 @@ def test_resume_from_the_ledger(spark):
     rows = [message(n, {"tableName": "t", "id": str(n), "v": "a"}, partition=n % 2) for n in range(1, 6)]
     run_batch(Plain(target), batch(spark, *rows), 0, ledger, F.lit("2024-01-01 00"))
     assert resume_options(ledger, "plain", "topic") == {"startingOffsets": json.dumps({"topic": {"0": 4, "1": 5}})}
+    # Another hour, in which one partition stood elsewhere and the other has no row; the topic has three.
+    run_batch(Plain(target), batch(spark, message(9, {"tableName": "t", "id": "9", "v": "a"}, partition=1)), 1, ledger, F.lit("2024-01-01 01"))
+    assert resume_options(ledger, "plain", "topic", partitions=3) == {"startingOffsets": json.dumps({"topic": {"0": 4, "1": 9, "2": -2}})}
+    assert resume_options(ledger, "plain", "topic", "2024-01-01 01", 3) == {"startingOffsets": json.dumps({"topic": {"0": -2, "1": 9, "2": -2}})}
+    messages = batch(spark, *rows, message(9, {}, partition=1), message(1, {}, partition=2))
+    left = {(r["partition"], r["offset"]) for r in resumed(messages, ledger, "plain", "2024-01-01 01").collect()}
+    assert left == {(0, 2), (0, 4), (1, 9), (2, 1)}
 
 
 def test_labelled_job(spark):

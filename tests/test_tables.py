@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from rows import values
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from rillmark.operators.events import DEAL_KEY, filter_b_changes, join_deal_trad
 from rillmark.session import work_path
 from rillmark.sinks import jdbc, stores
 from rillmark.sinks.keyed_table import KeyedTable
+from rillmark.sinks.kv_cache import KeyValueCache
 
 SCHEMA = "k string, a string, b string"
 
@@ -283,3 +286,76 @@ def test_jdbc_statement_and_options():
     sql = jdbc.upsert_statement("t", "s", ["k", "a"], ["k"], present=True)
     assert sql.endswith("UPDATE a = CASE WHEN FIND_IN_SET('a', s._present) > 0 THEN VALUES(a) ELSE COALESCE(VALUES(a), t.a) END")
     assert jdbc.write_options("u", "t", {"user": "x"}, 500, 8) == {"url": "u", "dbtable": "t", "batchsize": "500", "user": "x", "numPartitions": "8"}
+
+
+CELL = "rowkey string, family string, column string, value string, ts bigint, deleted string"
+
+
+def live(spark, *cells, **more):
+    return sorted(values(keyed.live_cells(spark.createDataFrame(list(cells), CELL), **more)))
+
+
+def mark(spark, scope, ts, **named):
+    df = spark.createDataFrame([tuple(named.values())], ", ".join(f"{n} string" for n in named))
+    return [tuple(r) for r in keyed.deletion(df, scope, F.lit(ts)).collect()]
+
+
+def test_deleted_cells(spark):
+    a, b = ("r", "f", "a", "1", 10, None), ("r", "f", "b", "2", 20, None)
+    other, far = ("r", "g", "a", "3", 10, None), ("s", "f", "a", "4", 10, None)
+    everything = [a, b, other, far]
+    shown = [c[:5] for c in everything]
+    assert live(spark, *everything) == sorted(shown)
+    # A mark hides what is not newer than it, whichever is stored first.
+    assert live(spark, *mark(spark, keyed.FAMILY, 10, rowkey="r", family="f"), *everything) == sorted([b[:5], other[:5], far[:5]])
+    assert live(spark, *everything, *mark(spark, keyed.ROW, 15, rowkey="r")) == sorted([b[:5], far[:5]])
+    assert live(spark, *everything, *mark(spark, keyed.TABLE_FAMILY, 20, family="f")) == [other[:5]]
+    assert live(spark, *everything, *mark(spark, keyed.COLUMN, 99, rowkey="r", family="f", column="b")) == sorted([a[:5], other[:5], far[:5]])
+    # The newest mark counts; cells written after it are there, older versions are not.
+    marks = [*mark(spark, keyed.FAMILY, 5, rowkey="r", family="f"), *mark(spark, keyed.FAMILY, 30, rowkey="r", family="f")]
+    again = [("r", "f", "a", "new", 31, None), ("r", "f", "a", "old", 29, None), ("r", "f", "a", "newest", 32, None)]
+    assert live(spark, *everything, *marks, *again) == sorted([("r", "f", "a", "newest", 32), other[:5], far[:5]])
+    assert [c[3] for c in live(spark, *marks, *again, versions=2)] == ["new", "newest"]
+
+
+def test_a_row_of_very_many_cells_is_split(spark):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in before:
+        spark.conf.set(k, "-1")
+    try:
+        cells = spark.range(3000).select(F.lit("hot").alias("rowkey"), F.lit("f").alias("family"), F.col("id").cast("string").alias("column"), F.lit("v").alias("value"), F.col("id").alias("ts"), F.lit(None).cast("string").alias("deleted"))
+        marks = spark.createDataFrame(mark(spark, keyed.ROW, 999, rowkey="hot"), CELL)
+        found = keyed.live_cells(cells.unionByName(marks))
+        assert found.count() == 2000
+        # Joins on structs made right before them: plain shuffles, which the runtime can split.
+        assert found._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(_scope") >= 4
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_cache_entries_leave_the_disk(spark):
+    def at(day, hour=12):
+        return datetime.datetime(2024, 1, day, hour)
+
+    cache = KeyValueCache(spark, work_path(spark, "cache"), longest_days=5)
+
+    def put(day, hours, *entries):
+        rows = spark.createDataFrame(list(entries), "code string, name string, tenant string")
+        cache.write(stores.kv_rows(rows, "t", "code", "name", "tenant", F.lit(at(day)), ttl=hours * 3600), F.lit(at(day)))
+
+    def entries(df):
+        return sorted((r["key"], r["value"]) for r in df.collect())
+
+    put(1, 120, ("a", "1", "x"), ("b", "1", "x"), ("c", "1", "x"), ("", "no key", "x"))
+    put(3, 2, ("b", "short", "x"))
+    assert entries(cache.read(at(3, 13))) == [("a", "1"), ("b", "short"), ("c", "1")]
+    put(4, 120, ("c", "2", "x"), ("a", "other tenant", "y"))
+    # The short-lived one has run out; what it had replaced does not come back, before or after folders are removed.
+    want = [("a", "1"), ("a", "other tenant"), ("c", "2")]
+    assert entries(cache.read(at(5))) == want and cache.drop_expired(at(5)) == []
+    assert cache.drop_expired(at(7)) == ["2024-01-06"]
+    assert entries(cache.stored()) == [("a", "other tenant"), ("b", "short"), ("c", "2")]
+    assert entries(cache.read(at(7))) == [("a", "other tenant"), ("c", "2")]
+    with pytest.raises(Exception, match="lives longer"):
+        put(5, 121, ("d", "1", "x"))
