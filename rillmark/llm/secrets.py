@@ -5,7 +5,7 @@ its right make a pair. Literals and names joined by ``+`` are folded, and a name
 before, so a literal is judged by every name it reaches; a name that was given none adds nothing to a sum. Its score adds how telling the name is and how random the literal.
 
 Defined cases: a null text counts as empty and has no spans; rows are independent of each other, so repeated rows and null
-ids give one result row each; other columns of the input are kept out of the result of ``find_secrets``; a sum that would be longer than the text itself,
+ids give one result row each; ids, and all columns of ``redact`` but the text, pass through unchanged; other columns of the input are kept out of the result of ``find_secrets``; a sum that would be longer than the text itself,
 as of a name added to itself over and over, is not followed.
 """
 
@@ -15,7 +15,7 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +36,8 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|example.*|placeholder|you
 SIGN = re.compile(r":=|=>|[=:]")
 NAME_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
 NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*")
-LITERAL = re.compile(r"""[\x20\t]*(?:[bBrRuUfF]{0,2}"((?:[^"\\\n]|\\.)*)"|[bBrRuUfF]{0,2}'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z0-9+/_.=~@!#$%^&*-]+))""")
+# A literal without quotes ends before an assignment sign that another one follows: each sign reads its own part of a run.
+LITERAL = re.compile(r"""[\x20\t]*(?:[bBrRuUfF]{0,2}"((?:[^"\\\n]|\\.)*)"|[bBrRuUfF]{0,2}'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|((?:[A-Za-z0-9+/_.~@!#$%^&*-]|=+(?![A-Za-z0-9+/_.=~@!#$%^&*-]))+))""")
 PLUS = re.compile(r"""[\x20\t]*\+[\x20\t]*(?=["'`])""")
 JOIN = re.compile(r"[\x20\t]*\+[\x20\t]*")
 OPERAND = re.compile(r"[\x20\t]*([A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_.(\[])")
@@ -175,18 +176,20 @@ def find_secrets(df: DataFrame, id: str = "doc_id", text: str = "text", least: f
     ``least`` is the score from which the literal of an assignment counts as a secret. Spans of the base shapes are always kept.
     """
 
+    span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+
     def scan(batches):
-        for pdf in batches:
+        for batch in batches:
             spans = []
-            for x in pdf["text"]:
+            for x in batch.column(1).to_pylist():
                 x = "" if x is None else x
                 both = base_spans(x) + literal_spans(x, least)
                 both.sort(key=lambda s: (s[0], KINDS.index(s[2])))
                 spans.append([{"kind": k, "start": s, "end": e} for s, e, k in both])
-            yield pd.DataFrame({"id": pdf["id"], "spans": spans})
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(span))], ["id", "spans"])
 
     rows = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    found = rows.mapInPandas(scan, f"id {rows.schema['id'].dataType.simpleString()}, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    found = rows.mapInArrow(scan, f"id {rows.schema['id'].dataType.simpleString()}, spans array<struct<kind:string,start:bigint,end:bigint>>")
     return found.withColumnRenamed("id", id)
 
 
@@ -205,10 +208,12 @@ def redact(df: DataFrame, text: str = "text", least: float = 4.5, mark: str = "[
         return "".join([*out, x[end:]]) if out else x
 
     def scan(batches):
-        for pdf in batches:
-            yield pdf.assign(**{text: [None if x is None else clean(x) for x in pdf[text]]})
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            texts = pa.array([None if x is None else clean(x) for x in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield batch.set_column(at, batch.schema.field(at), texts)
 
-    return df.mapInPandas(scan, df.schema).select(*(F.col(f"`{n}`") for n in names))
+    return df.mapInArrow(scan, df.schema).select(*(F.col(f"`{n}`") for n in names))
 
 
 def digest(found: DataFrame) -> DataFrame:

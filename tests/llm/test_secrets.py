@@ -81,3 +81,26 @@ def test_names_of_any_length():
     tail = "n" * 120
     text = f'x{tail} = "q8Zr2LmX71vTn0"\ny{tail} = "blue"\npassword = x{tail}\n'
     assert spans(text, "q8Zr2LmX71vTn0")[0] in secrets.literal_spans(text, 4.5)
+
+
+def test_large_ids_beside_null_are_exact(spark):
+    rows = [((1 << 62) + 1, "x", None), (None, 'api_key = "zX81kLm0QpRt"', (1 << 62) + 3), (3, None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    assert {r["doc_id"] for r in secrets.find_secrets(df).collect()} == {(1 << 62) + 1, None, 3}
+    kept = {(r["doc_id"], r["n_chars"]) for r in secrets.redact(df).collect()}
+    assert kept == {(a, c) for a, _, c in rows}
+
+
+def test_long_runs_of_assignments_take_linear_time():
+    import time
+
+    for text in ("token=" * 170_000, "token=abc+" * 100_000, "a:b=" * 250_000, "secret='" * 120_000, "x=" + "=" * 1_000_000):
+        start = time.time()
+        secrets.base_spans(text)
+        secrets.literal_spans(text, 4.5)
+        assert time.time() - start < 20
+
+
+def test_an_unquoted_literal_ends_where_the_next_pair_begins():
+    found = [text[s:e] for text in ["auth_token=Zx81kLm0QpRtUv==", "a=1&api_key=Zx81kLm0QpRtUv&b=2"] for s, e, _ in secrets.literal_spans(text, 4.5)]
+    assert found == ["Zx81kLm0QpRtUv==", "Zx81kLm0QpRtUv&b"]
