@@ -20,5 +20,5 @@ def test_query_and_sql_agree(spark, con, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
