@@ -12,6 +12,7 @@ Defined cases: a null or empty text is the end token alone; repeated rows are pa
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -26,13 +27,14 @@ from .common import WORD, per_process, staged
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
+SEPARATORS = re.compile(r"[\x1C-\x1F]")
 
 
 class Encoder:
     """Little-endian ids of texts, word by word. White space separates tokens of this vocabulary, so a text's ids are its words' ids.
 
     Ids of words seen are kept in two generations of at most ``most`` words: when the young one is full it becomes the old one,
-    and words met again move back. A comma or full stop after a letter is a token of its own, and plain letters are lower-cased.
+    and words met again move back. A comma or full stop after letters is a token of its own.
     """
 
     def __init__(self, path: str, most: int = 400_000):
@@ -49,37 +51,36 @@ class Encoder:
     def packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def stem(self, word: str) -> tuple[str, bytes]:
-        end = b""
-        if word[-1] in ",." and word[-2:-1].isalpha():
-            word, end = word[:-1], self.ends[word[-1]]
-        return word.lower() if word.isascii() and word.isalpha() else word, end
-
     def learn(self, words: set[str]) -> None:
         """Give every word an entry in the young generation."""
         if len(self.young) + 2 * len(words) > self.most:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        words = words.difference(young)
-        stems = {}
-        for w in words:
+        plain, ended, other = [], [], []
+        for w in words.difference(young):
             if (known := old.get(w)) is not None:
                 young[w] = known
+            elif w.isalpha():
+                plain.append(w)
+            elif w[-1] in ",." and w[:-1].isalpha():
+                ended.append(w)
             else:
-                stems[w] = self.stem(w)
-        unknown = {stem for stem, _ in stems.values()}.difference(young)
-        self.encode([w for w in unknown if w.isalpha()])
-        other = [w for w in unknown if not w.isalpha()]
+                other.append(w)
+        self.encode(plain)
+        stems = {w[:-1] for w in ended}.difference(young)
+        young.update((w, old[w]) for w in stems if w in old)
+        self.encode([w for w in stems if w not in young])
+        for w in ended:
+            young[w] = young[w[:-1]] + self.ends[w[-1]]
         for w, e in zip(other, self.model.encode_batch_fast(other, add_special_tokens=False)):
             young[w] = self.packed(e.ids)
-        for w, (stem, end) in stems.items():
-            young[w] = young[stem] + end
 
     def encode(self, words: list[str]) -> None:
         """Words of letters only, many at a time: each is one run of tokens, of which the last is marked as a word's end."""
         for at in range(0, len(words), 1000):
             own = words[at : at + 1000]
-            ids = np.array(self.model.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            (together,) = self.model.encode_batch_fast([" ".join(own)], add_special_tokens=False)
+            ids = np.array(together.ids, "<u4")
             cuts = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
             if len(cuts) != len(own) + 1:  # a letter that becomes several words
                 self.young.update((w, self.packed(self.model.encode(w, add_special_tokens=False).ids)) for w in own)
@@ -93,7 +94,9 @@ class Encoder:
         for text in texts:
             text = text or ""
             # Letters are lower-cased by the tokenizer too, but names of its special tokens are looked for before that.
-            words = WORD.findall(text.lower() if text.isascii() and "<|" not in text else text)
+            lower = text.isascii() and "<|" not in text
+            # Among ASCII characters, ``split`` knows four more kinds of white space than ``WORD``.
+            words = text.lower().split() if lower and not SEPARATORS.search(text) else WORD.findall(text.lower() if lower else text)
             if n + len(words) > most:
                 yield from self.known(waiting)
                 waiting, n = [], 0
