@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from rillmark.session import work_path
 
@@ -21,6 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
+    return spark.createDataFrame([], schema).toArrow().schema
+
+
+def exact_pandas(data: pa.RecordBatch | pa.Table) -> pd.DataFrame:
+    """A pandas frame in which whole numbers beside NULL are objects: as floats they would lose all but 53 bits."""
+    return data.to_pandas(integer_object_nulls=True)
+
+
+def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | StructType) -> DataFrame:
+    """``mapInPandas`` by which whole numbers come through exactly, beside NULL too. Frames made of rows must be made as objects."""
+    target = arrow_schema(df.sparkSession, schema)
+
+    def frames(batches):
+        for pdf in run(exact_pandas(b) for b in batches):
+            yield pa.RecordBatch.from_pandas(pdf, target, preserve_index=False)
+
+    return df.mapInArrow(frames, schema)
+
+
 def slices(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
     """Smaller batches: what is made of the texts of a batch is held at once."""
     for pdf in batches:

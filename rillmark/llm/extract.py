@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import map_frames, staged
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(?=[a-zA-Z/])[^>]*\Z""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -495,4 +495,4 @@ def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
             yield pdf[["id", "url"]].assign(text=texts)
 
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    return rows.mapInPandas(run, f"id {rows.schema['id'].dataType.simpleString()}, url string, text string").select(F.col("id").alias(id), F.col("url").alias(url), "text")
+    return map_frames(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, url string, text string").select(F.col("id").alias(id), F.col("url").alias(url), "text")

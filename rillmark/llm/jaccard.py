@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, WordIds, gram_hashes, mixed, per_process, slices, staged
+from .common import WORD, WordIds, gram_hashes, map_frames, mixed, per_process, slices, staged
 from .graph import components
 from .lm import CAPITALS
 
@@ -99,7 +99,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
             sets = [token_set(x, n) for x in pdf["text"]]
             yield pd.DataFrame({"doc": pdf["doc"], "size": list(map(len, sets)), "sig": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "bits": [bitmap(s) for s in sets]})
 
-    return docs.mapInPandas(run, f"doc {kind(docs)}, size long, sig binary, bits binary")
+    return map_frames(docs, run, f"doc {kind(docs)}, size long, sig binary, bits binary")
 
 
 def kind(docs: DataFrame) -> str:

@@ -19,10 +19,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes
+from .common import gram_hashes, map_frames
 
 LETTERS = re.compile(r"[^\W_]+")
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
@@ -207,9 +208,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
         def run(batches):
             for pdf in batches:
                 found = search(items, list(pdf["text"]), least)
-                yield pd.DataFrame([(doc, *hit) for doc, hits in zip(pdf["doc"], found) for hit in hits], columns=["doc", "item_id", "score", "end_word"])
+                yield pd.DataFrame([(doc, *hit) for doc, hits in zip(pdf["doc"], found) for hit in hits], columns=["doc", "item_id", "score", "end_word"], dtype=object)
 
-        return rows.mapInPandas(run, out)
+        return map_frames(rows, run, out)
 
     parts = [one(items) for items in blocks(benchmark, n, most)]
     found = reduce(DataFrame.unionAll, parts) if parts else rows.sparkSession.createDataFrame([], out)
@@ -220,10 +221,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 3,
     """The rows, with all their columns, that hold no item."""
     def one(kept: DataFrame, items: Items) -> DataFrame:
         def run(batches):
-            for pdf in batches:
-                yield pdf[np.array([not x for x in search(items, list(pdf[text]), least)], bool)]
+            for batch in batches:
+                yield batch.filter(pa.array([not x for x in search(items, batch.column(text).to_pylist(), least)], pa.bool_()))
 
-        return kept.mapInPandas(run, docs.schema)
+        return kept.mapInArrow(run, docs.schema)
 
     kept = docs
     for items in blocks(benchmark, n, most):

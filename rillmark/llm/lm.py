@@ -25,10 +25,11 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordIds, mixed, per_process, staged
+from .common import WORD, WordIds, arrow_schema, exact_pandas, mixed, per_process, staged
 
 CAPITALS = re.compile("[A-Z]+")
 # Not words: words hold no white space.
@@ -223,9 +224,12 @@ def score(docs: DataFrame, held_out: Column, order: int = 2, mass: float = 1000.
     size = totals.agg(F.sum("seen").alias("seen"), F.sum("summed").alias("summed")).first()
     seen, summed = size["seen"] or 0, size["summed"] or 0
 
-    def scored(key, own, totals):
-        return score_block(own, totals, order, seen, summed, mass)
+    def scored(own, totals):
+        if not own.num_rows:
+            return target.empty_table()
+        return pa.Table.from_pandas(score_block(exact_pandas(own), totals.to_pandas(), order, seen, summed, mass), target, preserve_index=False)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("block").cogroup(totals.select("block", "k", "range", "totals").groupBy("block")).applyInPandas(scored, out).withColumnRenamed("doc_id", id)
+    target = arrow_schema(docs.sparkSession, out)
+    return dealt.groupBy("block").cogroup(totals.select("block", "k", "range", "totals").groupBy("block")).applyInArrow(scored, out).withColumnRenamed("doc_id", id)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, per_process, staged
+from .common import WORD, map_frames, per_process, staged
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
@@ -130,10 +130,10 @@ def pieces(df: DataFrame, tokenizer: str, longest: int = TIERS[-1]) -> DataFrame
                     n = len(own) // 4
                     rows.append((doc, start, n, zlib.crc32(own), total, part, seen[n]))
                     seen[n] += 1
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "rank"])
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "rank"], dtype=object)
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.select("doc_id", "text").mapInPandas(cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long")
+    return map_frames(df.select("doc_id", "text"), cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long")
 
 
 def layouts(counts: dict[int, int], tiers: tuple[int, ...] = TIERS) -> list[tuple[list[int], int]]:
@@ -220,4 +220,4 @@ def pack(df: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, step_tok
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     kind = cut.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
-    return cut.join(before, ["length", "part"]).mapInPandas(place, out)
+    return map_frames(cut.join(before, ["length", "part"]), place, out)
