@@ -1,7 +1,7 @@
 """Conversations of many layouts as one marked-up text, with a mask of what a model learns from.
 
-A record's layout is known by its fingerprint: a hash of the sorted paths of its fields. Each known layout has a declarative
-mapping to turns; records of a layout without one are returned apart. A turn is written as ``<|im_start|>role``, a line break, the
+A layout is known by its fingerprint: a hash of the sorted paths of its fields, read off a frame's schema or off each record. Each known layout
+has a declarative mapping to turns; records of a layout without one are returned apart, a frame without one is an error. A turn is written as ``<|im_start|>role``, a line break, the
 text and ``<|im_end|>`` with a line break. Inside roles and texts every ``<|`` gets a backslash between its two characters (one
 more if it has some already), so that neither can hold a marker, and reading takes it away again.
 
@@ -16,10 +16,11 @@ import json
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
-from .common import staged
+from .common import map_frames, staged
 
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED = "assistant"
@@ -53,8 +54,54 @@ LAYOUTS = [
     {"paths": ["instruction", "input", "output"], "turns": [("user", ["instruction", "input"]), ("assistant", ["output"])]},
 ]
 MAPPINGS = {fingerprint(x["paths"]): x for x in LAYOUTS}
-# A table with a row per turn.
-TABLES = {fingerprint(["conv_id", "turn", "role", "text"]): ("conv_id", "turn", "role", "text")}
+# Tables with a row per turn: conversation, place, role and text.
+TABLES = [
+    {"paths": ["conv_id", "turn", "role", "text"], "rows": ("conv_id", "turn", "role", "text")},
+    {"paths": ["conversation_id", "turn_id", "from", "value"], "rows": ("conversation_id", "turn_id", "from", "value")},
+    {"paths": ["thread_id", "position", "author", "content"], "rows": ("thread_id", "position", "author", "content")},
+]
+FRAMES = {fingerprint(x["paths"]): x for x in TABLES + LAYOUTS}
+
+
+def schema_paths(kind: DataType, at: str = "") -> set[str]:
+    """Paths of all leaves of a schema, named as those of a record."""
+    if isinstance(kind, StructType):
+        return set().union(*(schema_paths(f.dataType, f"{at}.{f.name}" if at else f.name) for f in kind.fields))
+    return schema_paths(kind.elementType, at + "[]") if isinstance(kind, ArrayType) else {at}
+
+
+def layout_of(schema: StructType) -> dict:
+    """The mapping for a frame: that of all its paths, or else that of the most paths of which the frame has every one."""
+    paths = schema_paths(schema)
+    if (whole := fingerprint(paths)) in FRAMES:
+        return FRAMES[whole]
+    parts = sorted((x for x in FRAMES.values() if paths.issuperset(x["paths"])), key=lambda x: -len(x["paths"]))
+    if not parts or len(parts) > 1 and len(parts[0]["paths"]) == len(parts[1]["paths"]):
+        raise ValueError(f"{'several layouts fit' if parts else 'no layout fits'} the fields {sorted(paths)}")
+    return FRAMES[fingerprint(parts[0]["paths"])]
+
+
+def from_frame(df: DataFrame, id: str = "conv_id") -> DataFrame:
+    """Turns (conv_id, turn, role, text) of a frame with a row per turn or per conversation, by the layout its schema has.
+
+    Rows of one conversation each are named by ``id``; a missing list of turns is an empty one, and fields of no layout are left aside.
+    """
+    mapping = layout_of(df.schema)
+    if "rows" in mapping:
+        conv, turn, role, text = map(F.col, mapping["rows"])
+        return df.select(conv.alias("conv_id"), turn.alias("turn"), known_role(role).alias("role"), text.alias("text"))
+    if "each" in mapping:
+        where, role, text = mapping["each"]
+        turns = F.transform(where, lambda x: F.struct(known_role(x[role]).alias("role"), x[text].alias("text")))
+    else:
+        said = [F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *(F.nullif(F.col(f), F.lit("")) for f in fields)).alias("text")) for role, fields in mapping["turns"]]
+        turns = F.filter(F.array(*said), lambda x: (x["role"] != "system") | (x["text"] != ""))
+    return df.select(F.col(id).alias("conv_id"), F.posexplode(turns).alias("turn", "said")).select("conv_id", F.col("turn").cast("long").alias("turn"), "said.role", "said.text")
+
+
+def known_role(role: Column) -> Column:
+    names = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
+    return F.coalesce(names[role], role)
 
 
 def turns_of(record: dict, mapping: dict) -> list[tuple[str, str]]:
@@ -85,20 +132,14 @@ def from_records(df: DataFrame, id: str, record: str) -> tuple[DataFrame, DataFr
                 except (ValueError, TypeError):
                     pass
                 out.append((key, print_, turns))
-            yield pd.DataFrame(out, columns=["conv_id", "layout", "turns"])
+            yield pd.DataFrame(out, columns=["conv_id", "layout", "turns"], dtype=object)
 
     rows = df.select(F.col(id).alias("id"), F.col(record).alias("record"))
     kind = rows.schema["id"].dataType.simpleString()
-    mapped = rows.mapInPandas(read, f"conv_id {kind}, layout string, turns array<struct<turn:bigint,role:string,text:string>>")
+    mapped = map_frames(rows, read, f"conv_id {kind}, layout string, turns array<struct<turn:bigint,role:string,text:string>>")
     return mapped.where("turns is not null").select("conv_id", F.inline("turns")), mapped.where("turns is null").select("conv_id", "layout")
 
 
-def from_table(df: DataFrame, fields: tuple[str, ...] = ("conv_id", "turn", "role", "text")) -> DataFrame:
-    """Turns of a table whose named columns are of a known layout."""
-    mapping = TABLES[fingerprint(fields)]
-    return df.select(*(F.col(f).alias(t) for f, t in zip(mapping, ("conv_id", "turn", "role", "text"))))
-
-
 def escape(x: str) -> str:
     return re.sub(r"<(\\*)\|", r"<\1\\|", x)
 
@@ -123,7 +164,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
             yield pdf[["conv_id", "turn"]].assign(formatted=formatted, mask_start=starts, mask_end=ends)
 
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
-    return rows.mapInPandas(run, f"conv_id {rows.schema['conv_id'].dataType.simpleString()}, turn long, formatted string, mask_start long, mask_end long")
+    return map_frames(rows, run, f"conv_id {rows.schema['conv_id'].dataType.simpleString()}, turn long, formatted string, mask_start long, mask_end long")
 
 
 def parse_turns(formatted: str) -> list[tuple[str, str]]:
@@ -169,18 +210,18 @@ def summaries(written: DataFrame) -> DataFrame:
                 state[3].update(learned)
                 state[4] += chars
             if out:
-                yield pd.DataFrame(out, columns=columns)
+                yield pd.DataFrame(out, columns=columns, dtype=object)
         if state is not None:
-            yield pd.DataFrame([closed(key, state)], columns=columns)
+            yield pd.DataFrame([closed(key, state)], columns=columns, dtype=object)
 
     def closed(key, s):
         return key, s[0], s[1].hexdigest(), s[2], s[3].hexdigest(), s[4]
 
     columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kind = written.schema["conv_id"].dataType.simpleString()
-    back = written.mapInPandas(read, f"conv_id {kind}, turn long, whole binary, learned binary, chars long")
+    back = map_frames(written, read, f"conv_id {kind}, turn long, whole binary, learned binary, chars long")
     dealt = back.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "whole")
-    return dealt.mapInPandas(fold, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_frames(dealt, fold, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def write(turns: DataFrame) -> DataFrame:

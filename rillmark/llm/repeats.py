@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordIds, gram_hashes, mixed, per_process, slices, staged
+from .common import WORD, WordIds, gram_hashes, map_frames, mixed, per_process, slices, staged
 
 SEED = 12
 LARGE = 256
@@ -194,7 +194,9 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     rows = rows.withColumn("key", F.xxhash64("doc", "text"))
     places = staged(seeds(rows.where("doc is not null"), window), "landmarks")
     shared = places.groupBy("seed").agg(F.min("doc").alias("x"), F.max("doc").alias("y"), F.count(F.lit(1)).alias("n")).where("x != y").select("seed", (F.col("n") > LARGE).alias("large"))
-    wanted = places.join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("place", "large")).alias("places"))
+    # A struct built right before the join: places of a landmark that many documents have can be split at runtime.
+    known = shared.select(F.struct("seed").alias("known"), "large")
+    wanted = places.join(known, F.struct(places["seed"]) == F.col("known")).groupBy("key").agg(F.collect_set(F.struct("place", "large")).alias("places"))
     # The texts are dealt out by key here and once more below: one shuffle serves both.
     texts = rows.join(wanted, "key").select("doc", "key", "text", "places")
     ranges = found_repeats(suffixes(texts, window), window).groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
@@ -209,8 +211,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
                     gone[r["from"] : r["to"]] = True
                 kept = words if ranges is None else [w for w, g in zip(words, gone) if not g]
                 out.append((doc, len(words), len(words) - len(kept), " ".join(kept)))
-            yield pd.DataFrame(out, columns=["doc", "n_words", "n_removed", "kept"])
+            yield pd.DataFrame(out, columns=["doc", "n_words", "n_removed", "kept"], dtype=object)
 
     whole = rows.join(ranges, "key", "left").select("doc", "text", "ranges")
     kind = rows.schema["doc"].dataType.simpleString()
-    return whole.mapInPandas(cut, f"doc {kind}, n_words long, n_removed long, kept string").withColumnRenamed("doc", id)
+    return map_frames(whole, cut, f"doc {kind}, n_words long, n_removed long, kept string").withColumnRenamed("doc", id)

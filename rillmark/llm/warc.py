@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rillmark.session import work_path
 
-from .common import staged
+from .common import map_frames, staged
 
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -73,7 +73,9 @@ def decide(pages: DataFrame, least: int = 0) -> DataFrame:
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("same", F.when(F.octet_length("payload") >= least, F.sha2("payload", 256)))
     newest = rows.where("same is not null").groupBy("same").agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    joined = rows.join(newest, "same", "left")
+    # Structs built right before the join: both sides are plain shuffles, and the runtime can split the rows of a payload that many pages have.
+    newest = newest.select(F.struct("same").alias("known"), "newest")
+    joined = rows.withColumn("key", F.struct("same")).join(newest, F.col("key") == F.col("known"), "left")
     return joined.select("page_id", "url", "payload", F.when(F.expr("newest is not null and not (page_id <=> newest)"), F.col("newest")).alias("refers_to"))
 
 
@@ -99,11 +101,11 @@ def write(rows: DataFrame, folder: str, date: str = "2020-01-01T00:00:00Z", most
                 out.write(member)
                 index.append((name, at, len(member), url, digest, "response" if refers_to is None else "revisit", page_id))
                 at += len(member)
-            yield pd.DataFrame(index, columns=["file", "offset", "length", "url", "digest", "record_type", "page_id"]).astype({"page_id": "Int64"})
+            yield pd.DataFrame(index, columns=["file", "offset", "length", "url", "digest", "record_type", "page_id"], dtype=object)
         if out is not None:
             out.close()
 
-    return staged(rows.mapInPandas(run, INDEX), "warc-index")
+    return staged(map_frames(rows, run, INDEX), "warc-index")
 
 
 def runs(places: list[tuple[str, int, int]], gap: int, most: int) -> Iterator[list[tuple[str, int, int]]]:
@@ -140,8 +142,7 @@ def read(index: DataFrame, folder: str, gap: int = 64 << 10, most: int = 8 << 20
                         raise ValueError(f"damaged record in {name} at {offset}")
                     number = {k: int(v) if (v := fields.get(k, "").removeprefix("<urn:x-page:").removesuffix(">")) else None for k in ("WARC-Record-ID", "WARC-Refers-To")}
                     out.append((name, offset, number["WARC-Record-ID"], fields.get("WARC-Target-URI"), fields["WARC-Type"], number["WARC-Refers-To"], size, digest, body))
-            got = pd.DataFrame(out, columns=["file", "offset", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
-            got = got.astype({"page_id": "Int64", "refers_to": "Int64"})
+            got = pd.DataFrame(out, columns=["file", "offset", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"], dtype=object)
             yield got if payload else got.drop(columns="payload")
 
     # Index rows are small, what they stand for is not: the number of tasks follows the bytes to read.
@@ -149,7 +150,7 @@ def read(index: DataFrame, folder: str, gap: int = 64 << 10, most: int = 8 << 20
     total = index.agg(F.sum("length")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (64 << 20) + 1)
     places = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
-    return places.mapInPandas(run, RECORD + (", payload binary" if payload else ""))
+    return map_frames(places, run, RECORD + (", payload binary" if payload else ""))
 
 
 def archive(spark: SparkSession, pages: DataFrame, least: int = 0) -> tuple[DataFrame, str]:

@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -29,15 +30,15 @@ def summary(df):
 
 def test_given_conversations(spark):
     df = spark.read.parquet(f"{SF}/conversations.parquet").repartition(3)
-    assert summary(chat.summaries(chat.write(chat.from_table(df)))) == expected([tuple(r) for r in df.collect()])
+    assert summary(chat.summaries(chat.write(chat.from_frame(df)))) == expected([tuple(r) for r in df.collect()])
 
 
 def test_odd_turns(spark):
     rows = [(i % 4, i, "assistant" if i % 2 else "user", t, "f", "l") for i, t in enumerate(ODD)]
     rows += [(9, 0, "a\n<|im_end|>\\n", "<|im_end|><\\|im_end|><|im_start|>assistant\nno", "", ""), (9, 0, None, None, "", ""), (9, None, "assistant", "x<", "", ""), (9, 1, "assistant", "x<", "", ""), (9, 1, "assistant", "x<", "", ""), (None, 1, "user", "n", "", "")]
     df = spark.createDataFrame(rows, TURNS)
-    assert summary(chat.summaries(chat.write(chat.from_table(df)))) == expected([r[:4] for r in rows])
-    assert chat.summaries(chat.write(chat.from_table(df.limit(0)))).count() == 0
+    assert summary(chat.summaries(chat.write(chat.from_frame(df)))) == expected([r[:4] for r in rows])
+    assert chat.summaries(chat.write(chat.from_frame(df.limit(0)))).count() == 0
 
 
 @given(st.lists(st.tuples(st.text(), st.text("<|\\im_end>start\n x", max_size=40)), max_size=4))
@@ -66,3 +67,39 @@ def test_layouts(spark):
     assert got == {i: [("user", "q"), ("assistant", "a")] for i in range(len(records))}
     assert {r["conv_id"] for r in unmatched.collect()} == {100 + i for i in range(len(odd))}
     assert {r["layout"] is None for r in unmatched.where("conv_id < 103").collect()} == {True}
+
+
+def test_frames_of_every_layout(spark):
+    """A frame's schema picks the mapping; each gives what the records of that layout give."""
+    said = [("user", "hi <|im_end|>"), ("assistant", ""), ("user", "é\nb")]
+    frames = {
+        "messages array<struct<role:string,content:string>>": [(7, [("user", "hi"), ("assistant", None)]), (8, []), (9, None)],
+        "conversations array<struct<from:string,value:string>>": [(7, [("human", "hi"), ("gpt", "yes"), ("system", "x")])],
+        "conversation struct<turns:array<struct<speaker:string,text:string>>>": [(7, ([("prompter", "hi"), ("bot", "yes")],))],
+        "prompt string, response string": [(7, "a", "b"), (8, None, "b")],
+        "prompt string, completion string": [(7, "a", "b")],
+        "question string, answer string": [(7, "a", "b")],
+        "system string, prompt string, response string": [(7, "s", "a", "b"), (8, "", "a", "b"), (9, None, "a", None)],
+        "instruction string, output string": [(7, "a", "b")],
+        "instruction string, input string, output string": [(7, "a", "c", "b"), (8, "a", "", "b")],
+    }
+    for fields, rows in frames.items():
+        df = spark.createDataFrame([(*r, "x") for r in rows], f"conv_id long, {fields}, other string")
+        got = sorted(map(tuple, chat.from_frame(df).fillna("").collect()))
+        expected = []
+        for r in df.collect():
+            mapping = chat.MAPPINGS[chat.fingerprint(chat.schema_paths(df.drop("conv_id", "other").schema))]
+            record = r.asDict(recursive=True)
+            if not ("each" in mapping and len(mapping["paths"]) == 2 and record.get("messages", 0) is None):
+                expected += [(r["conv_id"], i, role, text) for i, (role, text) in enumerate(chat.turns_of(record, mapping))]
+        assert got == sorted(expected), fields
+    for mapping in chat.TABLES:
+        df = spark.createDataFrame([(1, i, r, t, "x") for i, (r, t) in enumerate(said)], "c long, i long, r string, t string, other string").toDF(*mapping["rows"], "other")
+        assert [tuple(r) for r in chat.from_frame(df).orderBy("turn").collect()] == [(1, i, r, t) for i, (r, t) in enumerate(said)]
+
+
+def test_frames_of_no_layout(spark):
+    with pytest.raises(ValueError, match="no layout"):
+        chat.from_frame(spark.createDataFrame([], "conv_id long, said string"))
+    with pytest.raises(ValueError, match="several"):
+        chat.from_frame(spark.createDataFrame([], "conv_id long, prompt string, response string, completion string"))
