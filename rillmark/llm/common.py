@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType
 from rillmark.session import work_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# White space to ``str.split``, but part of a word here.
+OTHER_SPACE = re.compile("[\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
@@ -23,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def words_of(text: str) -> list[str]:
+    """The matches of ``WORD``; most texts have no other white space and can be split in one go."""
+    return WORD.findall(text) if OTHER_SPACE.search(text) else text.split()
+
+
 def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
     return spark.createDataFrame([], schema).toArrow().schema
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordIds, arrow_schema, exact_pandas, mixed, per_process, staged
+from .common import WordIds, arrow_schema, exact_pandas, mixed, per_process, staged, words_of
 
 CAPITALS = re.compile("[A-Z]+")
 # Not words: words hold no white space.
@@ -41,7 +41,7 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 def tokens(text: str | None) -> list[str]:
     text = text or ""
-    return WORD.findall(text.lower() if text.isascii() else CAPITALS.sub(lambda m: m.group().lower(), text))
+    return words_of(text.lower() if text.isascii() else CAPITALS.sub(lambda m: m.group().lower(), text))
 
 
 def encoded(texts) -> tuple[np.ndarray, np.ndarray]:
