@@ -28,7 +28,12 @@ from pyspark.sql import functions as F
 
 from .common import map_frames, staged
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(?=[a-zA-Z/])[^>]*\Z""", re.S)
+# Comments, declarations, tags, and a tag that the page ends in. A quote is one only at the start of a value.
+TOKEN = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>]*+))?+)*+)>|<(?=[a-zA-Z/]).*\Z""",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PARTS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
@@ -40,6 +45,8 @@ BLOCKS = set(
     "html body main article section nav header footer aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption"
     " blockquote pre figure figcaption form fieldset address details summary dialog hgroup menu search center".split()
 )
+# Of elements whose content is skipped, those in which nothing but their own end tag is markup.
+UNMARKED = set("script style textarea title iframe".split())
 CLOSES_P = BLOCKS - set("html body".split())
 # A new element ends an open one of these kinds, up to the element in which it stands.
 ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table thead tbody tfoot"), "td": ("td th", "tr"), "th": ("td th", "tr")}
@@ -52,6 +59,9 @@ BAD = set(
     " notice cookie cookies consent popup modal overlay alert subscribe newsletter signup login search form comment comments reply replies discussion disqus"
     " share social related recommended recommend more tags pagination pager toolbar skip copyright".split()
 )
+# Elements that hold a whole article, and names by which such an element is something else all the same.
+HOLDERS = set("html body main article".split())
+APART = set("comment comments reply replies discussion disqus related recommended recommend advert advertisement promo sponsored widget".split())
 BAD_TAGS = set("nav header footer aside form dialog menu search fieldset".split())
 TAGS = ["p", "div", "section", "article", "main", "ul", "li", "table", "td", "blockquote", "pre", "figure"]
 
@@ -66,6 +76,18 @@ class Node:
         self.chars = self.links = self.words = self.stops = self.commas = self.blocks = self.tags = self.paragraphs = 0
 
 
+def skipped_to(name: str, page: str, at: int) -> int | None:
+    """Where an element ends whose content is skipped; None if it is not closed, or not before another of a kind that holds none of its own."""
+    if name == "head":
+        end = re.compile(r"</head(?=[\s/>])[^>]*>|(?=<body(?=[\s/>]))", re.I).search(page, at)
+    elif name in ("button", "select"):
+        end = re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+        end = end if end and end.group(1) else None
+    else:
+        end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+    return end.end() if end else None
+
+
 def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block nodes in page order, the root first, and the blocks of text with the number of the node that each stands in."""
     root = Node("root", (), None)
@@ -106,11 +128,9 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         flush()
         del open_nodes[k:]
 
-    skip = None
-    for m in TOKEN.finditer(page):
-        if m.start() < at:
-            continue
-        if m.start() > at and skip is None:
+    endless: set[str] = set()  # skipped elements that no end tag follows
+    while m := TOKEN.search(page, at):
+        if m.start() > at:
             text = page[at : m.start()]
             pieces.append(text)
             if link:
@@ -122,12 +142,15 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         name, closing = name.lower(), m.group(1)
         open_nodes[-1].tags += 1
         if name in RAW:
-            if not closing and not m.group(3).endswith("/"):
-                # What these elements hold is skipped as a whole; one that is not closed holds the rest.
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                if end is None and name == "head":
-                    end = re.compile(r"(?=<body\b)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if not closing and not (name in ("svg", "math") and m.group(3).endswith("/")):
+                # What these elements hold is skipped as a whole. If one is not closed, only unmarked text goes on to the end of the page.
+                end = None if name in endless else skipped_to(name, page, at)
+                if end is None and name not in ("button", "select"):
+                    endless.add(name)
+                if end is not None:
+                    at = end
+                elif name in UNMARKED and not m.group(3).endswith("/"):
+                    at = len(page)
             continue
         if name in VOID:
             if name in ("br", "hr"):
@@ -192,6 +215,11 @@ def named(node: Node, names: set[str]) -> bool:
     return any(w in names for w in node.names)
 
 
+def disclaimed(node: Node) -> bool:
+    """Whether tag or names say that a node is no article; what holds a page's article has other names too, as of its topics, and few that count."""
+    return node.tag in BAD_TAGS or named(node, APART if node.tag in HOLDERS else BAD)
+
+
 FEATURES = 25 + len(TAGS)
 
 
@@ -203,7 +231,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     for i, n in enumerate(nodes):
         up = n.parent
         key = id(n)
-        bad, good = n.tag in BAD_TAGS or named(n, BAD), n.tag in ("article", "main") or named(n, GOOD)
+        bad, good = disclaimed(n), n.tag in ("article", "main") or named(n, GOOD)
         bad_above[key] = (bad_above.get(id(up), 0) if up else 0) + bad
         good_above[key] = (good_above.get(id(up), 0) if up else 0) + good
         chars, words = n.chars, max(1, n.words)
@@ -231,7 +259,7 @@ def outright(nodes: list[Node]) -> np.ndarray | None:
     inside, article = {}, False
     for n in nodes:
         up = inside.get(id(n.parent)) if n.parent else False
-        if n.tag in BAD_TAGS or named(n, BAD):
+        if disclaimed(n):
             inside[id(n)] = False
         else:
             inside[id(n)] = up or n.tag in ("article", "main")
@@ -296,11 +324,23 @@ def rewritten(page: str, draw: random.Random) -> list[tuple[str, str]]:
         tag = "h1" if k == 0 and draw.random() < 0.7 else draw.choice(["p", "p", "p", "p", "p", "h2", "blockquote", "div"])
         return f"<{tag}>{quoted(text)}</{tag}>"
 
+    def small():
+        """What articles hold besides long texts: headings, tables of data, lists."""
+        kind = draw.randrange(4)
+        if kind < 2:
+            return f"<{(t := draw.choice(['h1', 'h2', 'h2', 'h3']))}>{quoted(words(1, 8))}</{t}>"
+        if kind == 2:
+            wide, cell = draw.randint(2, 4), draw.choice(["td", "td", "th"])
+            return "<table>" + "".join("<tr>" + "".join(f"<{cell}>{quoted(words(1, 3))}</{cell}>" for _ in range(wide)) + "</tr>" for _ in range(draw.randint(2, 6))) + "</table>"
+        return f"<{(t := draw.choice(['ul', 'ol']))}>" + "".join(f"<li>{quoted(words(2, 12))}</li>" for _ in range(draw.randint(2, 6))) + f"</{t}>"
+
     out = []
     for _ in range(2):
         shown = inside[: draw.randint(1, len(inside))]
         before, after, within = ([extra() for _ in range(draw.randint(0, n))] for n in (3, 4, 1))
         body = [("in", block(k, t)) for k, t in enumerate(shown)]
+        for _ in range(draw.randint(0, 3)):
+            body.insert(draw.randint(0, len(body)), ("in", small()))
         for x in within:
             body.insert(draw.randint(0, len(body)), ("out", x))
         tag = draw.choice(["article", "main", "div", "div", "section"])
