@@ -215,3 +215,23 @@ def test_labelled_job(spark):
     labels = list(ORDER_EVENT_LABELS.values())
     assert events == sorted([("a", same, x, "s") for x in set(labels)] + [("a", later, labels[-1], "s")])
     assert [r["fdeal_id"] for r in job.unmatched.read().collect()] == ["lonely"]
+
+
+def test_a_load_decodes_once_in_code_the_jvm_compiles(spark, monkeypatch):
+    job = ChangeJoin(spark, work_path(spark, "once"), "t_deal", "t_trade", [*ORDER_EVENT_LABELS, "fplatform_id"], ["fitem_sku_id", "ftrade_num"], buckets=2)
+    key = dict.fromkeys(DEAL_KEY, 7)
+    deal = key | {"tableName": "t_deal", "optTime": 5, "optType": "INSERT", "fplatform_id": 10000000.0}
+    trade = key | {"tableName": "t_trade", "optTime": "5", "optType": "UPDATE", "ftrade_id": "1", "ftrade_num": 1.50}
+    sent = batch(spark, message(0, deal, trade), ("topic", 0, 1, json.dumps([json.dumps(deal), "broken"])), message(2, trade | {"optTime": 6, "ftrade_num": None}))
+    changes = job.changes(sent)
+    # A longer method is never compiled.
+    sizes = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(changes._jdf.queryExecution().executedPlan())
+    assert 0 < max(sizes.apply(i)._3().maxMethodCodeSize() for i in range(sizes.size())) < 8000
+    plans = []
+    for state in (job.a_state, job.b_state):
+        write = state.write_batch
+        monkeypatch.setattr(state, "write_batch", lambda rows, i, write=write: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), write(rows, i))[1])
+    job.load_state(changes, 0)
+    assert len(plans) == 2 and all("InMemoryTableScan" in p for p in plans) and not changes.is_cached
+    assert values(job.a_state.read().select("fdeal_id", "fplatform_id", "opttime")) == [("7", "10000000.0", "5")]
+    assert values(job.b_state.read().select("ftrade_id", "ftrade_num", "opttime")) == [("1", None, "6")]
