@@ -21,11 +21,12 @@ often as they occur; an empty table gives no rows; all counts are exact, and pro
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import gram_hashes, mixed, staged
@@ -42,6 +43,9 @@ HASH_BITS = 48
 PARTITION_MASS, SPARE = 4_000_000, 4
 # Bits for each n-gram that stayed, and at most in all.
 BITS_EACH, MOST_BITS = 16, 1 << 28
+# Rows are megabytes: what a task passes to Python at once (by Spark's setting 64 MB, held several times over), and what its writer holds back.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+HELD_BYTES = str(16 << 20)
 GRAMS = "partition long, mass long, first long, steps binary, counts binary"
 
 
@@ -111,7 +115,7 @@ def in_chunks(texts: DataFrame) -> DataFrame:
         yield from (numbered(*x) for x in waiting.items())
 
     # Rows of megabytes: the writer has to look at the size of a page after each, not after a hundred.
-    one = {"parquet.page.size.row.check.min": "1"}
+    one = {"parquet.page.size.row.check.min": "1", "parquet.block.size": HELD_BYTES}
     return staged(texts.mapInArrow(encode, "lang string, names string, words binary"), "phrases-chunks", **one)
 
 
@@ -244,7 +248,7 @@ def stayed(encoded: DataFrame, lengths: tuple[int, ...], least: int, partitions:
         if summary is not None:
             yield given()
 
-    grams = staged(encoded.mapInArrow(count, GRAMS), "phrases-grams")
+    grams = staged(encoded.mapInArrow(count, GRAMS), "phrases-grams", **{"parquet.block.size": HELD_BYTES})
     mass = grams.groupBy("partition").agg(F.sum("mass").alias("whole"))
     rows = grams.join(mass, "partition").select("partition", F.col("whole").alias("mass"), "first", "steps", "counts")
     # A partition's rows stand together in one task: the capacity holds for all of its mass.
@@ -304,16 +308,34 @@ def within_longer(counts: DataFrame) -> DataFrame:
     return inner.select("lang", F.array_join(F.slice("ws", F.col("i"), F.col("n")), " ").alias("phrase"), "f").groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
 
 
-def collocations(df: DataFrame, top: int = 2000, least: int = 30, lang: str = "lang", text: str = "text") -> DataFrame:
-    """The ``top`` phrases of each language by score, then occurrences, then bytes: ``lang``, ``rank`` (from 1), ``phrase``, ``a``, ``l``, ``r``, ``n`` (words of the language), ``score``."""
-    texts = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+def counts_of(texts: DataFrame, least: int) -> DataFrame:
+    """What ``exact`` gives, staged."""
     encoded = in_chunks(texts)
     # Words and the pairs they begin.
     mass = 2 * (encoded.agg(F.sum(F.length("words"))).first()[0] or 0) // 4
     partitions = max(1, -(-mass // PARTITION_MASS))
     short = stayed(encoded, (1, 2), least, partitions)
     long = stayed(encoded, (3, 4), least, partitions, bitmap(short))
-    counts = staged(exact(encoded, least, bitmap(short.union(long))), "phrases-counts")
+    return staged(exact(encoded, least, bitmap(short.union(long))), "phrases-counts")
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Stages that run inside pass no more than ``BATCH_BYTES`` to Python at once, unless one row is larger."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
+
+
+def collocations(df: DataFrame, top: int = 2000, least: int = 30, lang: str = "lang", text: str = "text") -> DataFrame:
+    """The ``top`` phrases of each language by score, then occurrences, then bytes: ``lang``, ``rank`` (from 1), ``phrase``, ``a``, ``l``, ``r``, ``n`` (words of the language), ``score``."""
+    texts = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    # All that runs in Python is done when this ends.
+    with small_batches(df.sparkSession):
+        counts = counts_of(texts, least)
     total = counts.where("phrase is null").select("lang", F.col("f").alias("n"))
     found = scored(counts).join(within_longer(counts), ["lang", "phrase"], "left")
     found = found.where("longer is null or 100BD * cast(longer as decimal(20,0)) < 80BD * cast(a as decimal(20,0))")

@@ -100,3 +100,17 @@ def test_steps_between_hashes_round_trip():
                 back += (np.uint64(r["first"]) + np.cumsum(np.append(np.uint64(0), phrases.wide(r["steps"], np.uint32)))).tolist()
                 assert set(phrases.wide(r["counts"], np.uint8).tolist()) == {300}
         assert back == x
+
+
+def test_rows_of_megabytes_pass_in_small_batches(spark, monkeypatch):
+    """By Spark's own setting a batch holds 64 MB of them, and the writer 128 MB."""
+    seen, staged, before = {}, phrases.staged, spark.conf.get(phrases.BATCH_SETTING, None)
+
+    def spy(df, name, **options):
+        seen[name] = (spark.conf.get(phrases.BATCH_SETTING), int(options.get("parquet.block.size", 1 << 27)))
+        return staged(df, name, **options)
+
+    monkeypatch.setattr(phrases, "staged", spy)
+    assert mined(spark, [("en", "a b " * 40)])
+    assert {s for s, _ in seen.values()} == {"8m"} and max(seen[n][1] for n in ("phrases-chunks", "phrases-grams")) <= 1 << 24
+    assert spark.conf.get(phrases.BATCH_SETTING, None) == before
