@@ -11,7 +11,8 @@ so weights sum to one at every state. All n-grams are kept, those seen once too.
 
 Texts are dealt into blocks of bounded size. A block sends its distinct n-grams, sorted and cut into hash ranges, to where the
 counts of a range are added up, and gets the corpus totals back in the same order: the part of the automaton that its own texts can
-reach. It is then walked from left to right over all texts of the block at once, each with its own state.
+reach. All texts of the block then go through it at once: all parts of an n-gram seen in training were seen there too, so the state before
+a token is the longest context seen that ends there, whatever came earlier, and each token takes its arcs and failure arcs from that state.
 
 Defined cases: a null or empty text is the end token alone; a row whose id is null is trained on; repeated rows count as often as they
 occur; with no training rows only the unknown token has a probability; an empty table gives no rows.
@@ -20,7 +21,6 @@ occur; with no training rows only the unknown token has a probability; an empty
 from __future__ import annotations
 
 import math
-import re
 import zlib
 
 import numpy as np
@@ -29,27 +29,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, arrow_schema, exact_pandas, mixed, per_process, staged, words_of
+from .common import arrow_schema, exact_pandas, lower_words, mixed, staged, word_hashes
 
-CAPITALS = re.compile("[A-Z]+")
 # Not words: words hold no white space.
-END, START = "\n", "\n\n"
+END, START = b"\n", b"\n\n"
 BLOCK_CHARS = 12_000_000
 RANGE_TOKENS = 3_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: str | None) -> list[str]:
-    text = text or ""
-    return words_of(text.lower() if text.isascii() else CAPITALS.sub(lambda m: m.group().lower(), text))
-
-
 def encoded(texts) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of the texts, each text led by the start and closed by the end token, and where each text starts."""
-    ids = per_process("word ids", WordIds)
     parts, starts, at = [], [], 0
     for text in texts:
-        own = ids.of([START, *tokens(text), END])
+        own = word_hashes([START, *lower_words(text), END])
         parts.append(own)
         starts.append(at)
         at += len(own)
@@ -69,8 +62,22 @@ def grams(ids: np.ndarray, starts: np.ndarray, order: int):
         yield at, keys
 
 
-def follow(state: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mixed(state * GOLDEN + token)
+def tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, where each of them stands, and for every key the index of its like."""
+    by_key = np.argsort(keys)
+    keys = keys[by_key]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    which = np.empty(len(keys), np.int32)
+    which[by_key] = np.cumsum(new, dtype=np.int32) - 1
+    return keys[new], by_key[new], which
 
 
 def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -91,124 +98,100 @@ def count_block(pdf: pd.DataFrame, order: int, ranges: int) -> pd.DataFrame:
     trained = np.repeat(pdf["trained"].to_numpy(bool), np.diff([*starts, len(ids)]))
     out = []
     for k, (at, keys) in enumerate(grams(ids, starts, order), 1):
-        distinct, which = np.unique(keys, return_inverse=True)
-        counts = np.bincount(which, trained[at], len(distinct))
-        part = range_of(distinct, ranges)
+        own, _ = tally(keys)
+        counts = np.zeros(len(own))
+        learnt, times = tally(keys[trained[at]])
+        counts[np.searchsorted(own, learnt)] = times
+        part = range_of(own, ranges)
         cuts = np.searchsorted(part, np.arange(ranges + 1))
-        out += [(pdf["block"].iloc[0], k, r, distinct[a:b].tobytes(), packed(counts[a:b])) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        out += [(pdf["block"].iloc[0], k, r, own[a:b].tobytes(), packed(counts[a:b])) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
     return pd.DataFrame(out, columns=["block", "k", "range", "keys", "counts"])
 
 
 def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
     """Totals of one range of one order, for each block in the order of its keys; number and sum of seen tokens on the first row."""
     keys = [np.frombuffer(x, "<u8") for x in pdf["keys"]]
-    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(which, np.concatenate([unpacked(x) for x in pdf["counts"]]), len(distinct)).astype(np.uint64)
+    own, _, which = distinct(np.concatenate(keys))
+    totals = np.bincount(which, np.concatenate([unpacked(x) for x in pdf["counts"]]), len(own)).astype(np.uint64)
     mine = totals[which]
     cuts = np.cumsum([0, *map(len, keys)])
     out = pdf[["block", "k", "range"]].assign(totals=[packed(mine[a:b]) for a, b in zip(cuts, cuts[1:])], seen=0, summed=0)
     if out["k"].iloc[0] == 1:
-        words = totals[distinct != start_key()]
+        words = totals[own != start_key()]
         out.loc[out.index[0], ["seen", "summed"]] = [int((words > 0).sum()), int(words.sum())]
     return out
 
 
 def start_key() -> np.uint64:
-    return mixed(WordIds().of([START]))[0]
+    return mixed(word_hashes([START]))[0]
 
 
 class Automaton:
-    """States and arcs of one block, by order: sorted keys with log10 weights of arcs, backoff weights and failure arcs."""
+    """States and arcs of one block, by order: log10 weights of arcs, backoff weights, what was seen in training, and which n-gram ends at each token."""
 
     def __init__(self, ids: np.ndarray, starts: np.ndarray, totals: list[np.ndarray], seen: int, summed: int, mass: float):
         z = summed + 0.5 * (seen + 1)
         self.unknown = math.log10(0.5 / z)
-        self.keys, self.arcs, self.backoffs, self.fails, self.totals = [], [], [], [], []
-        place = None
+        self.starts, self.arcs, self.backoffs, self.known, self.ends = starts, [], [], [], []
+        counts = p = None
         for k, (at, keys) in enumerate(grams(ids, starts, len(totals)), 1):
-            distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
+            _, some, which = distinct(keys)
             count = totals[k - 1].astype(np.float64)
             if k == 1:
                 p = (count + 0.5) / z
-                fail = np.full(len(distinct), -1)
             else:
-                end = at[first]
-                lower, context = place[end], before[end - 1]  # index of the shorter n-gram, and of the context, in order k - 1
-                seen_context = self.totals[-1][context]
-                p = np.where(seen_context > 0, (count + mass * self.p[lower]) / (seen_context + mass), self.p[lower])
-                fail = lower
-            self.p = p
-            self.keys.append(distinct)
+                lower, context = self.ends[-1][at[some]], self.ends[-1][at[some] - 1]  # index of the shorter n-gram, and of the context, in order k - 1
+                seen_context = counts[context]
+                p = np.where(seen_context > 0, (count + mass * p[lower]) / (seen_context + mass), p[lower])
+            counts = count
             self.arcs.append(np.log10(p))
-            self.totals.append(count)
             self.backoffs.append(np.log10(mass / (count + mass)))
-            self.fails.append(fail)
-            place = np.zeros(len(ids), np.int64)
-            place[at] = which
-            before = place
-        del self.p
-
-    def find(self, order: int, keys: np.ndarray) -> np.ndarray:
-        """Index of each key among those of an order that were seen in training, -1 for the others."""
-        own = self.keys[order - 1]
-        at = np.searchsorted(own, keys)
-        at[at == len(own)] = 0
-        return np.where((own[at] == keys) & (self.totals[order - 1][at] > 0), at, -1)
-
-    def walk(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Log10 probability of each text, from its first token to its end token."""
-        order, lengths = len(self.keys), np.diff([*starts, len(ids)])
-        by_length = np.argsort(-lengths, kind="stable")
-        starts, lengths = starts[by_length], lengths[by_length]
-        score = np.zeros(len(starts))
-        # A state is the order of its context (0: the empty one) and its index there.
-        depth, state = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-        root = self.find(1, np.full(1, start_key(), np.uint64))[0] if len(starts) else -1
-        if root >= 0 and order > 1:
-            depth[:], state[:] = 1, root
-        active = len(starts)
-        for t in range(1, int(lengths.max(initial=0))):
-            while lengths[active - 1] <= t:
-                active -= 1
-            token = ids[starts[:active] + t]
-            todo = np.arange(active)
-            for d in range(order - 1, -1, -1):
-                here = todo[depth[todo] == d]
-                if not len(here):
-                    continue
-                key = follow(self.keys[d - 1][state[here]], token[here]) if d else mixed(token[here])
-                arc = self.find(d + 1, key)
-                took = here[arc >= 0]
-                score[took] += self.arcs[d][arc[arc >= 0]]
-                depth[took], state[took] = d + 1, arc[arc >= 0]
-                failed = here[arc < 0]
-                if d:
-                    score[failed] += self.backoffs[d - 1][state[failed]]
-                    depth[failed], state[failed] = d - 1, self.fails[d - 1][state[failed]]
-                else:
-                    score[failed] += self.unknown
-                todo = np.setdiff1d(todo, took, assume_unique=True) if d else todo
-            full = np.flatnonzero(depth[:active] == order)  # a context is shorter than an n-gram
-            state[full] = self.fails[order - 1][state[full]]
-            depth[full] = order - 1
-        out = np.empty(len(score))
-        out[by_length] = score
+            self.known.append(count > 0)
+            ends = np.full(len(ids), -1, np.int32)
+            ends[at] = which
+            self.ends.append(ends)
+
+    def longest(self) -> np.ndarray:
+        """Per token the length of the longest n-gram seen in training that ends there."""
+        out = np.zeros(len(self.ends[0]), np.int8)
+        for k, (ends, known) in enumerate(zip(self.ends, self.known), 1):
+            at = np.flatnonzero(ends >= 0)
+            out[at[known[ends[at]]]] = k
         return out
 
+    def walk(self, longest: np.ndarray) -> np.ndarray:
+        """Log10 probability of each text, from its first token to its end token."""
+        order, size = len(self.arcs), len(longest)
+        at = np.delete(np.arange(size), self.starts)
+        # A state is a context: its length (0: the empty one), and the token before, at which it ends.
+        depth = np.minimum(longest[at - 1], order - 1)
+        steps = np.zeros((size, order))
+        for d in range(order - 1, -1, -1):
+            took = longest[at] > d
+            here = at[took & (depth == d)]
+            steps[here, order - 1 - d] = self.arcs[d][self.ends[d][here]]
+            failing = ~took & (depth == d)
+            here = at[failing]
+            steps[here, order - 1 - d] = self.backoffs[d - 1][self.ends[d - 1][here - 1]] if d else self.unknown
+            depth[failing] -= 1
+        lengths = np.diff([*self.starts, size])
+        return np.bincount(np.repeat(np.arange(len(lengths)), lengths * order), steps.ravel(), len(lengths))
+
 
 def score_block(docs: pd.DataFrame, totals: pd.DataFrame, order: int, seen: int, summed: int, mass: float) -> pd.DataFrame:
     ids, starts = encoded(docs["text"])
     totals = totals.sort_values(["k", "range"])
     by_order = [np.concatenate([unpacked(x) for x in totals.loc[totals["k"] == k, "totals"]]) if (totals["k"] == k).any() else np.empty(0) for k in range(1, order + 1)]
     automaton = Automaton(ids, starts, by_order, seen, summed, mass)
-    known = automaton.find(1, mixed(ids)) >= 0
+    longest = automaton.longest()
+    score = automaton.walk(longest)
+    known = longest > 0
     known[starts] = False
-    own = np.searchsorted(automaton.keys[0], mixed(ids))
-    unigram = automaton.arcs[0][own]
+    unigram = automaton.arcs[0][automaton.ends[0]]
     unigram[starts] = 0
     return docs[["doc_id", "held_out"]].assign(
         n_tokens=np.diff([*starts, len(ids)]) - 1, n_known=np.add.reduceat(known.astype(np.int64), starts), train_tokens=summed,
-        base_score=np.add.reduceat(unigram, starts), score=automaton.walk(ids, starts),
+        base_score=np.add.reduceat(unigram, starts), score=score,
     )
 
 

@@ -1,7 +1,10 @@
 import math
+import random
+import time
 import zlib
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +71,21 @@ def test_nothing_to_learn_from(spark):
     assert lm.score(documents(spark, ODD).limit(0), F.expr(HELD)).count() == 0
     (row,) = lm.score(documents(spark, ["a b"]), F.lit(True)).collect()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (3, 0, 0) and row["base_score"] == row["score"] == 0.0
+
+
+def test_one_long_text_costs_no_more_than_many_short_ones():
+    """A text is walked in steps that do not grow in number with its tokens."""
+    draw = random.Random(5)
+    words = [f"w{draw.randrange(3000)}" for _ in range(150_000)]
+
+    def seconds(texts):
+        rows = pd.DataFrame({"doc_id": range(len(texts)), "text": texts, "held_out": False, "trained": True, "block": 0})
+        totals = lm.count_block(rows, 2, 1).assign(seen=0, summed=0)
+        totals = pd.concat([lm.add_up(own.reset_index(drop=True)) for _, own in totals.groupby(["k", "range"])])
+        begun = time.process_time()
+        out = lm.score_block(rows, totals, 2, int(totals["seen"].sum()), int(totals["summed"].sum()), 1000.0)
+        assert out["n_tokens"].sum() == len(words) + len(texts)
+        return time.process_time() - begun
+
+    short = [" ".join(words[at : at + 300]) for at in range(0, len(words), 300)]
+    assert min(seconds([" ".join(words)]) for _ in range(2)) < 4 * max(seconds(short) for _ in range(2))
