@@ -24,20 +24,33 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, WordIds, gram_hashes, map_frames, mixed, per_process, slices, staged
+from .common import gram_hashes, lower_words, map_frames, mixed, slices, staged, word_hashes
 from .graph import components
-from .lm import CAPITALS
 
 MANY = 32
 BLOCK = 1024
 
 
+def token_sets(texts, n: int) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of its n-grams. The texts are hashed together; runs that go across two of them are left out."""
+    ids = [word_hashes(lower_words(x)) for x in texts]
+    lengths = np.array(list(map(len, ids)), np.int64)
+    grams = gram_hashes(np.concatenate([*ids, np.empty(0, np.uint64)]), n).view(np.int64)
+    ends = np.cumsum(lengths).tolist()
+    sets = [np.sort(grams[end - k : end - n + 1]) if k >= n else gram_hashes(x, max(1, k)).view(np.int64) for x, k, end in zip(ids, lengths.tolist(), ends)]
+    flat = np.concatenate([*sets, np.empty(0, np.int64)])
+    sizes = np.array(list(map(len, sets)), np.int64)
+    starts = np.cumsum(sizes) - sizes
+    new = np.ones(len(flat), bool)
+    np.not_equal(flat[1:], flat[:-1], out=new[1:])
+    new[starts[sizes > 0]] = True
+    flat, kept = flat[new], np.cumsum(np.concatenate([[0], new]))
+    return [flat[a:b] for a, b in zip(kept[starts].tolist(), kept[starts + sizes].tolist())]
+
+
 def token_set(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of the n-grams of a text."""
-    text = text or ""
-    words = WORD.findall(text.lower() if text.isascii() else CAPITALS.sub(lambda m: m.group().lower(), text))
-    ids = per_process("word ids", WordIds).of(words)
-    return np.unique(gram_hashes(ids, min(n, max(1, len(ids)))).view(np.int64))
+    return token_sets([text], n)[0]
 
 
 def needed(size: np.ndarray | int, percent: int):
@@ -96,7 +109,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for pdf in slices(batches):
-            sets = [token_set(x, n) for x in pdf["text"]]
+            sets = token_sets(pdf["text"], n)
             yield pd.DataFrame({"doc": pdf["doc"], "size": list(map(len, sets)), "sig": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "bits": [bitmap(s) for s in sets]})
 
     return map_frames(docs, run, f"doc {kind(docs)}, size long, sig binary, bits binary")
@@ -111,7 +124,7 @@ def set_tokens(docs: DataFrame, n: int, length) -> DataFrame:
 
     def run(batches):
         for pdf in slices(batches):
-            sets = [token_set(x, n) for x in pdf["text"]]
+            sets = token_sets(pdf["text"], n)
             sizes = np.array(list(map(len, sets)), np.int64)
             kept = length(sizes) * (sizes > 0)
             yield pd.DataFrame({
@@ -181,7 +194,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
 
     def sets(batches):
         for pdf in slices(batches):
-            yield pd.DataFrame({"doc": pdf["doc"], "tokens": [token_set(x, n).tobytes() for x in pdf["text"]]})
+            yield pd.DataFrame({"doc": pdf["doc"], "tokens": [x.tobytes() for x in token_sets(pdf["text"], n)]})
 
     kept = staged(docs.join(wanted, "doc", "left_semi").mapInPandas(sets, f"doc {kind(docs)}, tokens binary").dropDuplicates(["doc"]), "sets")
     both = pairs.join(kept.select(F.col("doc").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(kept.select(F.col("doc").alias("b"), F.col("tokens").alias("tokens_b")), "b")

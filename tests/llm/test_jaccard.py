@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -88,3 +89,20 @@ def test_components_of_chains_and_stars(spark):
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert out == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 130)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_of_texts_in_any_script_cost_the_same():
+    """Capitals beside letters that are not ASCII are no slow path, and texts hashed together get the sets they get alone."""
+    draw = random.Random(6)
+    plain = [" ".join(f"{draw.randrange(1000)}" + "aB" * 20 for _ in range(300)) for _ in range(100)]
+    texts = [*ODD, *plain[:5], "a", None, "a b c d", "a b c", "a b c d a b c d"]
+    assert [s.tolist() for s in jaccard.token_sets(texts, 4)] == [jaccard.token_set(t, 4).tolist() for t in texts]
+    assert [len(s) for s in jaccard.token_sets(texts, 4)] == [len(shingles(t)) for t in texts]
+
+    def seconds(texts):
+        begun = time.process_time()
+        for text in texts:
+            jaccard.token_set(text, 4)
+        return time.process_time() - begun
+
+    assert min(seconds([t + " é" for t in plain]) for _ in range(3)) < 2 * max(seconds(plain) for _ in range(3))
