@@ -63,18 +63,29 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_values() -> dict:
+    return sys.modules.setdefault("_rillmark_kept", types.ModuleType("_rillmark_kept")).__dict__.setdefault("values", {})
+
+
 def per_process(key, make):
     """A value kept by a worker process from one task to the next; tasks may not rely on it being there.
 
     A worker keeps only the one it used last: what an earlier stage left must not add to the memory of the next.
     """
-    kept = sys.modules.setdefault("_rillmark_kept", types.ModuleType("_rillmark_kept")).__dict__.setdefault("values", {})
+    kept = kept_values()
     if key not in kept:
         kept.clear()
         kept[key] = make()
     return kept[key]
 
 
+def forget() -> None:
+    """Give back what earlier stages left with this worker process; for stages that keep nothing themselves."""
+    if kept_values():
+        kept_values().clear()
+        pa.default_memory_pool().release_unused()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hash of each word, as in ``WordIds``. Texts have so many rare words that keeping hashes costs more than making them again."""
     import xxhash

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, lower_words, map_frames, mixed, slices, staged, word_hashes
+from .common import forget, gram_hashes, lower_words, map_frames, mixed, slices, staged, word_hashes
 from .graph import components
 
 MANY = 32
@@ -108,6 +108,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
     """Per row the id, the set's size, a 128-bit digest of it and its bitmap."""
 
     def run(batches):
+        forget()
         for pdf in slices(batches):
             sets = token_sets(pdf["text"], n)
             yield pd.DataFrame({"doc": pdf["doc"], "size": list(map(len, sets)), "sig": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "bits": [bitmap(s) for s in sets]})
@@ -123,6 +124,7 @@ def set_tokens(docs: DataFrame, n: int, length) -> DataFrame:
     """A row per token of the first ``length(size)`` of each set in hash order, with its place there."""
 
     def run(batches):
+        forget()
         for pdf in slices(batches):
             sets = token_sets(pdf["text"], n)
             sizes = np.array(list(map(len, sets)), np.int64)

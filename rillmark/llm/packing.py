@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, map_frames, per_process, staged
+from .common import WORD, forget, map_frames, per_process, staged
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
@@ -203,6 +203,7 @@ def pack(df: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, step_tok
     places = np.array(bases, np.int64).reshape(-1, 3)
 
     def place(batches):
+        forget()  # a worker that waits for its next task would go on holding the words' ids
         for pdf in batches:
             number = (pdf["rank"] + pdf["before"]).to_numpy()
             lengths = pdf["length"].to_numpy()

@@ -65,3 +65,13 @@ def test_layouts_use_every_piece_once(counts):
         for x in lengths:
             used[x] = used.get(x, 0) + times
     assert used == counts
+
+
+def test_workers_give_back_the_words_they_learnt(spark, monkeypatch):
+    """What the first pass keeps in a worker is gone once that worker places pieces."""
+    runs, real = [], packing.map_frames
+    monkeypatch.setattr(packing, "map_frames", lambda df, run, schema: runs.append(run) or real(df, run, schema))
+    packing.pack(documents(spark, ["a b c"]), PATH)
+    packing.per_process("an encoder", lambda: "kept")
+    assert list(runs[-1](iter([]))) == []
+    assert packing.per_process("an encoder", lambda: "made again") == "made again"
