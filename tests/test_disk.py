@@ -1,0 +1,107 @@
+"""What the two-table job leaves on disk: message files, shuffle files, and how much a batch takes in."""
+
+import datetime
+import glob
+import json
+import os
+import time
+
+import pytest
+from compare import from_duckdb, from_spark
+from pyspark.sql import functions as F
+from rows import values
+
+import registry
+from registry import streams
+from rillmark.operators.events import DEAL_KEY
+from rillmark.session import FREE_SHUFFLES, shared_folder, shuffles_freed, work_path
+from rillmark.sources import changes
+from rillmark.streaming.change_join import ChangeJoin
+
+registry.load()
+JOBS = ["st_change_join_labelled"]
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Orders and lines, some of which come twice."""
+    day = datetime.datetime(1995, 6, 1)
+    orders = [(k, k % 7, "OFP"[k % 3], day + datetime.timedelta(k % 40), ["5-LOW", "1-URGENT"][k % 2]) for k in range(60)]
+    lines = [(k, n, 100 * k + n, k, float(n + 1), 10.0 * n + again, day + datetime.timedelta(n + again)) for k in range(54) for n in range(1 + k % 3) for again in range(1 + k % 2)]
+    names = ["o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+             "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_shipdate timestamp"]
+    for name, rows, schema in zip(("orders", "lineitem"), (orders, lines), names):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", JOBS)
+def test_messages_lie_once_and_compressed_and_batches_are_bounded(spark, tables, monkeypatch, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("orders", "lineitem"):
+        con.execute(f"create view {table} as select * from read_parquet('{tables}/{table}.parquet/*.parquet')")
+    more = name != "st_change_join_job"
+    if more:
+        # So little that each set is more than one batch.
+        monkeypatch.setattr(streams, "BATCH_BYTES", 1000)
+    top, batches = local(shared_folder(spark)), []
+    before = set(os.listdir(top))
+    run = streams.run_stream
+    monkeypatch.setattr(streams, "run_stream", lambda stream, each, *a, **named: run(stream, lambda df, i: (batches.append(i), each(df, i)), *a, **named))
+    found = from_spark(registry.QUERIES[name](spark, tables))
+    assert found == from_duckdb(con, registry.ORACLE[name])
+    own = [f"{top}/{d}" for d in os.listdir(top) if d not in before]
+    messages = [f for d in own for f in glob.glob(f"{d}/messages/part-*")]
+    assert len(own) == 1 and messages and all(f.endswith(".json.gz") for f in messages)
+    assert len(batches) > (1 if name == "st_state_load" else 3) if more else len(batches) == 3
+
+
+def test_messages_are_read_as_they_were_written(spark, monkeypatch):
+    monkeypatch.setattr(changes, "FILE_MESSAGES", 1000)
+    text = F.to_json(F.array(F.to_json(F.struct(F.col("id").alias("fdeal_id"), F.lit("ü\n\\\"").alias("v")))))
+    sent = spark.range(2500).select(F.lit("t").alias("topic"), F.lit(1).alias("partition"), F.col("id").alias("offset"), text.alias("value"))
+    path = work_path(spark, "written")
+    for part in (sent.where("offset < 2200"), sent.where("offset >= 2200")):
+        changes.write_changes(part.coalesce(1), path)
+    assert sorted(values(changes.read_changes(spark, path=path, streaming=False))) == sorted(values(sent))
+    files = glob.glob(f"{local(path)}/part-*")
+    assert sorted(spark.read.text(f).count() for f in files) == [200, 300, 1000, 1000]
+    sent.write.json(f"{path}-plain")
+    assert 5 * sum(map(os.path.getsize, files)) < sum(map(os.path.getsize, glob.glob(f"{local(path)}-plain/part-*")))
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_batch_leaves_no_shuffle_files(spark):
+    job = ChangeJoin(spark, work_path(spark, "freed"), "t_deal", "t_trade", ["fdeal_gen_time"], ["fitem_sku_id"], buckets=2)
+    job.reset()
+    key = dict.fromkeys(DEAL_KEY, "7")
+    records = [key | {"tableName": "t_deal", "optTime": 5, "optType": "INSERT"}, key | {"tableName": "t_trade", "optTime": 5, "optType": "INSERT", "ftrade_id": "1"}]
+    sent = spark.createDataFrame([("t", 0, 1, json.dumps([json.dumps(r) for r in records]))], changes.MESSAGE_SCHEMA)
+    set_before, before, kept = spark.conf.get(FREE_SHUFFLES, None), shuffle_files(spark), []
+    wrote = job.a_state.write_batch
+    job.a_state.write_batch = lambda rows, i: kept.append(rows) or wrote(rows, i)
+    job.load_state(job.changes(sent), 0)
+    # The plan that was shuffled is still held: no garbage collection frees its files.
+    deadline = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left and len(kept) == 1 and spark.conf.get(FREE_SHUFFLES, None) == set_before
+    assert [s.read().count() for s in (job.a_state, job.b_state)] == [1, 1]
+
+
+def test_the_setting_is_put_back(spark):
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    with pytest.raises(RuntimeError), shuffles_freed(spark, spark):
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+        raise RuntimeError
+    assert spark.conf.get(FREE_SHUFFLES, None) == before
