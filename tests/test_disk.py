@@ -19,7 +19,7 @@ from rillmark.sources import changes
 from rillmark.streaming.change_join import ChangeJoin
 
 registry.load()
-JOBS = ["st_change_join_job", "st_change_join_labelled"]
+JOBS = ["st_change_join_job", "st_change_join_labelled", "st_state_load"]
 
 
 def local(path):
